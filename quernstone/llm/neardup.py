@@ -9,7 +9,7 @@ differing bits add up, and a pair of nodes is dropped as soon as they exceed ``B
 What reaches the leaves is checked exactly on the sets of words.
 
 A pair of similarity 0.7 shares at least one of the 32 bands with probability 0.997 and keeps
-the budget with 0.9999; at 0.8 both miss less than one in a million.  Equal sets of words are
+the budget with 0.999; at 0.8 both together miss less than one in ten thousand.  Equal sets of words are
 one class before all this, so a text that a third of all rows repeat is one fingerprint.
 
 Defined results: null texts and texts without words are in no pair and no class; repeated
@@ -32,7 +32,7 @@ from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, shuffle_partitions
 
 WORD = re.compile(r"[^\W_]+")
-ROWS, BANDS, BITS, BUDGET = 5, 32, 128, 36
+ROWS, BANDS, BITS, BUDGET = 5, 32, 128, 32
 #: Rows of one band's top node that a single task joins; larger nodes are cut into blocks joined by several tasks.
 HOT = 8192
 #: Pairs of rows below which a pair of nodes is compared directly, and such comparisons done at a time.
