@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import forms, neardup
+from quernstone.llm import encoding, forms, neardup, reading, splits
 from quernstone.runtime import table
 
 
@@ -24,8 +24,39 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return forms.same_looking_pairs(rows)
 
 
+def _bank_splits(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    bank = table(spark, root, "random_sources_preview")
+    records, nodes, ties = splits.bank_graph(bank)
+    return records, splits.update_components(nodes, ties, table(spark, root, "split_targets"))
+
+
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return splits.file_pairs(*_bank_splits(spark, root))
+
+
+def p2_splits(spark: SparkSession, root: str) -> DataFrame:
+    """The split of every record."""
+    records, placed = _bank_splits(spark, root)
+    return records.select("id", "node").distinct().join(placed.select("node", "split"), "node").select(F.col("id").alias("question_id"), "split")
+
+
+def p7_ids(spark: SparkSession, root: str) -> DataFrame:
+    return encoding.with_ids(table(spark, root, "documents").select("doc_id", "text").dropDuplicates(["doc_id"]))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    return reading.with_level(documents, reading.train(reading.labelled(documents, table(spark, root, "reading_labels"))))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p5_found": p5_found}
+    return {
+        "p1_found": p1_found,
+        "p2_found": p2_found, "p2_splits": p2_splits,
+        "p5_found": p5_found,
+        "p7_ids": p7_ids,
+        "p9_found": p9_found,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
