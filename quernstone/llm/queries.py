@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import encoding, forms, neardup, reading, splits
+from quernstone.llm import canonical, encoding, forms, neardup, packing, reading, splits
 from quernstone.runtime import table
 
 
@@ -15,6 +15,25 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return neardup.record_pairs(*neardup.near_duplicates(bank.unionByName(exam)))
 
 
+#: Fields of the bank with the list, id and title that are canonical for them.
+CANONICAL = {
+    "topic": ("canonical_topics", "topic_title"),
+    "subtopic": ("canonical_subtopics", "subtopic_title"),
+    "chapter": ("canonical_chapters", "chapter_title"),
+}
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    bank = table(spark, root, "random_sources_preview")
+    fields = F.explode(F.array(*(F.struct(F.lit(f).alias("list"), F.col(f).alias("value")) for f in CANONICAL))).alias("f")
+    records = bank.select(F.col("question_id").alias("key"), fields).select("key", "f.list", "f.value")
+    entries = None
+    for field, (name, title) in CANONICAL.items():
+        part = table(spark, root, name).select(F.lit(field).alias("list"), "id", F.col(title).alias("title"))
+        entries = part if entries is None else entries.unionByName(part)
+    return canonical.map_records(records, entries).select(F.col("key").alias("question_id"), F.col("list").alias("field_name"), F.col("id").alias("canonical_id"))
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     bank = forms.fingerprints(table(spark, root, "random_sources_preview"), "question_id", "question_text")
     lessons = forms.fingerprints(table(spark, root, "curriculum_scan"), "lesson_id", "file_name")
@@ -44,6 +63,10 @@ def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encoding.with_ids(table(spark, root, "documents").select("doc_id", "text").dropDuplicates(["doc_id"]))
 
 
+def p8_packing(spark: SparkSession, root: str) -> DataFrame:
+    return packing.pack(table(spark, root, "documents"))
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")
     return reading.with_level(documents, reading.train(reading.labelled(documents, table(spark, root, "reading_labels"))))
@@ -53,8 +76,10 @@ def queries() -> dict:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found, "p2_splits": p2_splits,
+        "p3_found": p3_found,
         "p5_found": p5_found,
         "p7_ids": p7_ids,
+        "p8_packing": p8_packing,
         "p9_found": p9_found,
     }
 
