@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import canonical, encoding, forms, neardup, packing, reading, splits
+from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, splits
 from quernstone.runtime import table
 
 
@@ -59,6 +59,13 @@ def p2_splits(spark: SparkSession, root: str) -> DataFrame:
     return records.select("id", "node").distinct().join(placed.select("node", "split"), "node").select(F.col("id").alias("question_id"), "split")
 
 
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "standard_exam_questions").select(
+        "id", F.col("question_type").alias("kind"), F.col("question_text").alias("question"), F.col("correct_answer").alias("answer"), F.col("explanation").alias("response")
+    )
+    return answers.defects(rows).select(F.col("id").alias("question_id"), "defect")
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     return encoding.with_ids(table(spark, root, "documents").select("doc_id", "text").dropDuplicates(["doc_id"]))
 
@@ -78,6 +85,7 @@ def queries() -> dict:
         "p2_found": p2_found, "p2_splits": p2_splits,
         "p3_found": p3_found,
         "p5_found": p5_found,
+        "p6_found": p6_found,
         "p7_ids": p7_ids,
         "p8_packing": p8_packing,
         "p9_found": p9_found,
