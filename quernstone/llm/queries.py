@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, splits
+from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, scans, splits
 from quernstone.runtime import table
 
 
@@ -34,6 +34,20 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return canonical.map_records(records, entries).select(F.col("key").alias("question_id"), F.col("list").alias("field_name"), F.col("id").alias("canonical_id"))
 
 
+def _scan_study(spark: SparkSession, root: str):
+    bank = table(spark, root, "random_sources_preview")
+    blocks = table(spark, root, "mineru_preview_10_questions").select(F.col("ordinal").alias("row_key"), F.col("raw_block").alias("text"))
+    clean = bank.select(F.col("question_text").alias("text")).unionByName(table(spark, root, "standard_exam_questions").select(F.col("question_text").alias("text")))
+    texts = scans.scanned(blocks, bank.select(F.col("question_id").alias("row_key"), F.col("raw_text").alias("raw")))
+    labelled = bank.select(F.col("question_id").alias("key"), F.col("raw_text").alias("raw"), F.col("question_text").alias("clean"))
+    return texts, *scans.study(texts, clean, labelled)
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    _, looked, meant, _ = _scan_study(spark, root)
+    return scans.defects(looked, meant)
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     bank = forms.fingerprints(table(spark, root, "random_sources_preview"), "question_id", "question_text")
     lessons = forms.fingerprints(table(spark, root, "curriculum_scan"), "lesson_id", "file_name")
@@ -84,6 +98,7 @@ def queries() -> dict:
         "p1_found": p1_found,
         "p2_found": p2_found, "p2_splits": p2_splits,
         "p3_found": p3_found,
+        "p4_found": p4_found,
         "p5_found": p5_found,
         "p6_found": p6_found,
         "p7_ids": p7_ids,
