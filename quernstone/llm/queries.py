@@ -48,6 +48,11 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return scans.defects(looked, meant)
 
 
+def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
+    texts, looked, meant, _ = _scan_study(spark, root)
+    return scans.repaired(texts, looked, meant)
+
+
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
     bank = forms.fingerprints(table(spark, root, "random_sources_preview"), "question_id", "question_text")
     lessons = forms.fingerprints(table(spark, root, "curriculum_scan"), "lesson_id", "file_name")
@@ -98,7 +103,7 @@ def queries() -> dict:
         "p1_found": p1_found,
         "p2_found": p2_found, "p2_splits": p2_splits,
         "p3_found": p3_found,
-        "p4_found": p4_found,
+        "p4_found": p4_found, "p4_repaired": p4_repaired,
         "p5_found": p5_found,
         "p6_found": p6_found,
         "p7_ids": p7_ids,

@@ -43,10 +43,10 @@ FREQUENT = 50_000
 LEAST_COUNT = 5
 Q, OVERLAP = 2, 0.5
 
-# Signs and letter pairs that a scan takes for a letter, each with the letter.
+# Letters and signs that a scan confuses, brought to one spelling (m and rn, d and cl, w and vv look alike).
 CONFUSED = {
-    "9": "g", "|": "i", "!": "i", "0": "o", "€": "e", "5": "s", "1": "l", "6": "b", "rn": "m", "cl": "d", "vv": "w", "o'": "o", "u'": "u",
-    "o’": "o", "u’": "u", "ii": "u", "@": "a", "$": "s", "3": "e", "4": "a", "7": "t", "8": "b", "2": "z", "ı": "i", "l": "i", "6̀": "o",
+    "9": "g", "|": "i", "!": "i", "1": "i", "l": "i", "ı": "i", "0": "o", "6": "o", "8": "o", "b": "o", "€": "e", "3": "e", "5": "s", "$": "s",
+    "@": "a", "4": "a", "7": "t", "2": "z", "m": "rn", "d": "ci", "w": "vv", "o'": "o", "u'": "u", "o’": "o", "u’": "u",
 }
 HYPHENS = "-‐‑¬­–"
 _PIECE = re.compile(r"\S+")
@@ -55,6 +55,7 @@ _EDGES = ".,;:?!()[]{}\"“”…*~"
 _OPTION = re.compile(r"\s*[A-Fa-f]\s*[.):]")
 _INTERVAL = re.compile(r"\s*[\[(]\s*-?\d[\d.,]*\s*[;,–-]\s*-?\d[\d.,]*\s*[\])]\s*$")
 _BARE = re.compile(r"\s*-?\d[\d.,]*\s*$")
+_CELL = re.compile(r"\s*(?:-?\d[\d.,]*|[-–—])\s*$")
 _LETTER = re.compile(r"[^\W\d_]")
 _END = re.compile(r"[.?!:;]\s*$")
 
@@ -68,9 +69,9 @@ def plain(text: str) -> str:
 def skeleton(word: str) -> str:
     """What is left of a word when letters that a scan confuses are one: equal for a word and its misreading."""
     word = plain(word)
-    for seen in ("rn", "cl", "vv", "o'", "u'", "o’", "u’"):
+    for seen in ("o'", "u'", "o’", "u’"):
         word = word.replace(seen, CONFUSED[seen])
-    return "".join(CONFUSED.get(c, c) for c in word).replace("b", "o") if any(c == "6" for c in word) else "".join(CONFUSED.get(c, c) for c in word)
+    return "".join(CONFUSED.get(c, c) for c in word)
 
 
 def words_of(line: str) -> list[str]:
@@ -80,18 +81,13 @@ def words_of(line: str) -> list[str]:
         word = piece
         while word and word[0] in _EDGES and not (word[0] in "!|" and len(word) > 1 and word[1].isalpha()):
             word = word[1:]
-        while word and word[-1] in _EDGES and not (word[-1] == "!" and _inner(word)):
+        while word and word[-1] in _EDGES:
             word = word[:-1]
         if word:
             out.append(word.lower())
     return out
 
 
-def _inner(word: str) -> bool:
-    """Whether a closing ! may be a letter: the word is no word yet without it and nothing else ends there."""
-    return len(word) > 2 and word[-2].isalpha() and plain(word[-2]) in "aouekhtn" and False
-
-
 def is_wordlike(word: str) -> bool:
     letters = sum(c.isalpha() for c in word)
     return letters >= 1 and len(word) >= 2 and not any(c in "=^_\\{}$<>+/" for c in word) and not re.fullmatch(r"[\d.,;:%°-]*[^\W\d_]?", word)
@@ -136,6 +132,16 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def in_formula(lines: list[str], kinds: list[str]) -> list[bool]:
+    """Whether each line begins inside a formula that an earlier line of text left open."""
+    inside, out = False, []
+    for line, kind in zip(lines, kinds, strict=True):
+        out.append(inside)
+        if kind in ("text", "broken") and line.count("$") % 2:
+            inside = not inside
+    return out
+
+
 def one_form_lines(text: str) -> list[str]:
     """The lines in the one form; soft hyphens at an end stay visible as hyphens."""
     return [one_form(line.rstrip()[:-1] + "-" if line.rstrip().endswith("­") else line) for line in text.split("\n")]
@@ -155,20 +161,19 @@ def table_cells(lines: list[str]) -> list[bool]:
         if not cell[k]:
             k += 1
             continue
-        first, last, count = k, k, 0
+        last, count = k, 0
         while k < len(lines) and (cell[k] or not lines[k].strip() or (k + 1 < len(lines) and any(cell[k + 1 : k + 4]))):
             if cell[k]:
                 last, count = k, count + 1
             k += 1
-        numbers, seen_label, others = [], False, 0
+        numbers, others = [], 0
         for at in range(last + 1, min(len(lines), last + 3 * count + 8)):
             line = lines[at]
-            if _BARE.match(line):
+            if _CELL.match(line):
                 numbers.append(at)
-                seen_label = seen_label or True
             elif line.strip():
                 others += 1
-                if others > 4 or (numbers and len(numbers) >= count and others > 1):
+                if others > 4 or len(numbers) >= count:
                     break
         if len(numbers) > count:
             def beside(at: int) -> int:
@@ -179,7 +184,6 @@ def table_cells(lines: list[str]) -> list[bool]:
             numbers = keep
         for at in numbers[:count]:
             cell[at] = True
-        del first
     return cell
 
 
@@ -213,10 +217,11 @@ def line_features(lines: list[str], cells: list[bool], header_odds: dict[str, fl
 
 def broken_ends(lines: list[str], text_lines: list[int]) -> list[tuple[int, str, str]]:
     """(line, head, tail) of each line of text that ends in a hyphen, with the next line of text."""
-    out = []
+    out, inside = [], False
     for at, following in zip(text_lines, text_lines[1:], strict=False):
         line = lines[at].rstrip()
-        if not line or line[-1] not in HYPHENS or line.count("$") % 2:
+        inside ^= bool(line.count("$") % 2)
+        if not line or line[-1] not in HYPHENS or inside:
             continue
         head, tail = line.rstrip(HYPHENS).split(), lines[following].split()
         if head and tail and head[-1] and _LETTER.search(head[-1]):
@@ -319,9 +324,11 @@ class LineModels:
         for k, line in enumerate(lines):
             if not line:
                 kinds.append("blank")
+            elif x[k, 0] <= 2 and line[-1] in ".?!,;":  # the end of a paragraph
+                kinds.append("text")
             elif header[k] >= 0.5 and header[k] >= page[k]:
                 kinds.append("header")
-            elif page[k] >= 0.5 and not x[k, 13]:
+            elif page[k] >= 0.5 and x[k, 2] and not x[k, 13]:
                 kinds.append("page_number")
             else:
                 kinds.append("text")
@@ -426,11 +433,12 @@ def _looked(texts: DataFrame, models) -> DataFrame:
             for table, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 seen = m.look(text)
                 tails = {k for k, (kind, _) in enumerate(seen) if kind == "broken"}
+                formula = in_formula([line for _, line in seen], [kind for kind, _ in seen])
                 open_break = False
                 for k, (kind, line) in enumerate(seen):
                     odd: list[str] = []
                     if kind in ("text", "broken"):
-                        words = words_of(line)
+                        words = words_of("$" + line if formula[k] else line)
                         inside = words[1 if open_break else 0 : len(words) - 1 if k in tails else len(words)]
                         odd = [w for w in dict.fromkeys(inside) if w not in m.known and is_wordlike(w)]
                         open_break = kind == "broken"
@@ -473,3 +481,62 @@ def defects(looked: DataFrame, meant: DataFrame) -> DataFrame:
     words = looked.where("kind in ('text', 'broken')").select("source_table", "row_key", "line_no", F.explode("odd").alias("word"))
     misread = words.join(meant.select("word"), "word", "left_semi").select("source_table", "row_key", "line_no", F.lit("misread").alias("defect"))
     return lines.unionByName(misread.distinct())
+
+
+def repaired(texts: DataFrame, looked: DataFrame, meant: DataFrame) -> DataFrame:
+    """(source_table, row_key, text): continuous paragraphs, without furniture, broken words joined, misread words as read.
+
+    Options, table rows and blank lines keep their places; a text without noise is only joined.
+    """
+    words = looked.where("kind in ('text', 'broken')").select("source_table", "row_key", F.explode("odd").alias("word")).join(meant, "word")
+    words = words.groupBy("source_table", "row_key").agg(F.collect_set(F.struct("word", "meant")).alias("words"))
+    kinds = looked.where("kind not in ('text')").groupBy("source_table", "row_key").agg(F.collect_list(F.struct("line_no", "kind")).alias("kinds"))
+    keys = ["source_table", "row_key"]
+    rows = texts.join(kinds, keys, "left").join(words, keys, "left").select(*keys, "text", "kinds", "words")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, kinds, words in zip(*(batch.column(n).to_pylist() for n in ("text", "kinds", "words")), strict=True):
+                out.append(_joined(text, {k["line_no"]: k["kind"] for k in kinds or ()}, {w["word"]: w["meant"] for w in words or ()}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=[*keys, "text"])
+
+    return rows.mapInArrow(run, "source_table string, row_key string, text string")
+
+
+def _like(meant: str, seen: str) -> str:
+    """``meant`` in the capitals of ``seen``."""
+    if len(seen) > 1 and seen.isupper():
+        return meant.upper()
+    return meant[:1].upper() + meant[1:] if seen[:1].isupper() else meant
+
+
+def _joined(text: str, kinds: dict[int, str], words: dict[str, str]) -> str:
+    lines = one_form_lines(text)
+    cells = table_cells(lines)
+    paragraphs: list[str] = []
+    open_end = glue = gap = False
+    for k, line in enumerate(lines):
+        kind = kinds.get(k + 1, "text")
+        if kind in ("header", "page_number"):
+            continue
+        if not line:
+            gap = True
+            continue
+        for seen, meant in words.items():
+            if seen in line.lower():
+                line = re.sub(re.escape(seen), lambda found, meant=meant: _like(meant, found.group()), line, flags=re.IGNORECASE)
+        following = next((x for x in range(k + 1, len(lines)) if lines[x] and kinds.get(x + 1) not in ("header", "page_number")), k)
+        alone = cells[k] or bool(_OPTION.match(line)) or (len(line.split()) <= 3 and cells[following] and following > k)
+        # a blank line ends a paragraph unless the sentence plainly goes on after it
+        goes_on = glue or not gap or (not _END.search(paragraphs[-1]) and line[0].islower()) if paragraphs else False
+        gap = False
+        if open_end and not alone and goes_on:
+            paragraphs[-1] += line if glue else " " + line
+        else:
+            paragraphs.append(line)
+        glue = kind == "broken" or line[-1:] in HYPHENS and not alone
+        if kind == "broken":
+            paragraphs[-1] = paragraphs[-1].rstrip(HYPHENS)
+        open_end = not alone
+    return "\n".join(paragraphs)
