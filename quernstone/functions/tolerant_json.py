@@ -63,9 +63,9 @@ def _repaired(text: str) -> dict | None:
     steps = (
         lambda s: _ESCAPE.sub(r"\\\\", s),
         lambda s: _TRAILING.sub(r"\1", s),
-        lambda s: _BARE_KEY.sub(r'\1"\2"\3', s),
-        lambda s: _literals(s),
         lambda s: s if '"' in s else s.replace("'", '"'),
+        lambda s: _BARE_KEY.sub(r'\1"\2"\3', s),
+        _literals,
     )
     for step in steps:
         text = step(text)

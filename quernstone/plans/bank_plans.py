@@ -353,8 +353,8 @@ def qb_overlay(spark: SparkSession, root: str) -> DataFrame:
 _FIRST = "f AS (SELECT * FROM random_sources_preview WHERE source_file IS NOT NULL QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY imported_at, coalesce(needs_review, false)) = 1)"
 
 
-@query(f"""WITH {_FIRST}, n AS (SELECT r.source_file, r.question_id, max(r.imported_at) AS at FROM random_sources_preview r JOIN f USING (question_id) WHERE r.imported_at > f.imported_at AND r.source_file IS NOT NULL GROUP BY 1, 2)
-SELECT source_file, question_id, epoch_us(imported_at) AS imported_us FROM f WHERE source_file NOT IN (SELECT source_file FROM n) UNION ALL SELECT source_file, question_id, epoch_us(at) FROM n""")
+@query(f"""WITH {_FIRST}, n AS (SELECT r.source_file, r.question_id, max(r.imported_at) AS sent_at FROM random_sources_preview r JOIN f USING (question_id) WHERE r.imported_at > f.imported_at AND r.source_file IS NOT NULL GROUP BY 1, 2)
+SELECT source_file, question_id, epoch_us(imported_at) AS imported_us FROM f WHERE source_file NOT IN (SELECT source_file FROM n) UNION ALL SELECT source_file, question_id, epoch_us(sent_at) FROM n""")
 def qb_replace_partition(spark: SparkSession, root: str) -> DataFrame:
     """Files of which records were sent again hold the new records only; all other files stay as first imported."""
     rows = table(spark, root, "random_sources_preview").where("source_file is not null").select("source_file", "question_id", F.unix_micros("imported_at").alias("imported_us"), F.coalesce("needs_review", F.lit(False)).alias("review"))
