@@ -25,6 +25,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,12 +61,14 @@ _LETTER = re.compile(r"[^\W\d_]")
 _END = re.compile(r"[.?!:;]\s*$")
 
 
+@lru_cache(maxsize=1 << 17)
 def plain(text: str) -> str:
     """Lower case without accents."""
     text = unicodedata.normalize("NFD", text.lower())
     return "".join(c for c in text if not unicodedata.combining(c)).replace("đ", "d")
 
 
+@lru_cache(maxsize=1 << 17)
 def skeleton(word: str) -> str:
     """What is left of a word when letters that a scan confuses are one: equal for a word and its misreading."""
     word = plain(word)
@@ -74,20 +77,23 @@ def skeleton(word: str) -> str:
     return "".join(CONFUSED.get(c, c) for c in word)
 
 
+@lru_cache(maxsize=1 << 17)
+def _bare(piece: str) -> str:
+    """A piece between white space without its outer punctuation, in lower case; a ! before a letter may be a misread one and stays."""
+    word = piece.rstrip(_EDGES)
+    while word and word[0] in _EDGES and not (word[0] == "!" and len(word) > 1 and word[1].isalpha()):
+        word = word[1:]
+    return word.lower()
+
+
 def words_of(line: str) -> list[str]:
     """Words of a line in lower case, without formulas and outer punctuation; inner marks stay, as they may be misread letters."""
-    out = []
-    for piece in _PIECE.findall(_FORMULA.sub(" ", line)):
-        word = piece
-        while word and word[0] in _EDGES and not (word[0] in "!|" and len(word) > 1 and word[1].isalpha()):
-            word = word[1:]
-        while word and word[-1] in _EDGES:
-            word = word[:-1]
-        if word:
-            out.append(word.lower())
-    return out
+    if "$" in line:
+        line = _FORMULA.sub(" ", line)
+    return [word for word in map(_bare, line.split()) if word]
 
 
+@lru_cache(maxsize=1 << 17)
 def is_wordlike(word: str) -> bool:
     letters = sum(c.isalpha() for c in word)
     return letters >= 1 and len(word) >= 2 and not any(c in "=^_\\{}$<>+/" for c in word) and not re.fullmatch(r"[\d.,;:%°-]*[^\W\d_]?", word)
@@ -313,32 +319,46 @@ class LineModels:
                 kinds.append("page_number" if len(letters) <= 12 and any(c.isdigit() for c in line) else "header")
         return kinds, pairs
 
-    def look(self, text: str) -> list[tuple[str, str]]:
-        """(kind, line in one form) of every line; kind is header, page_number, broken, text or blank."""
-        stored, lines = text.split("\n"), one_form_lines(text)
-        if len(lines) == 1:  # nothing can stand around it
-            return [("text" if lines[0] else "blank", lines[0])]
-        x = line_features(lines, table_cells(lines), self.header_odds, self.known)
+    def look(self, texts: list[str]) -> list[list[tuple[str, str]]]:
+        """(kind, line in one form) of every line of each text; kind is header, page_number, broken, text or blank.
+
+        The classifiers see the lines of all texts at once, so their trees are walked a few times a batch.
+        """
+        parts, features = [], []
+        for text in texts:
+            lines = one_form_lines(text)
+            parts.append((text.split("\n"), lines))
+            if len(lines) > 1:  # else nothing can stand around it
+                features.append(line_features(lines, table_cells(lines), self.header_odds, self.known))
+        x = np.concatenate(features) if features else np.zeros((0, 22), np.float32)
         header, page = self.header.predict(x), self.page.predict(x)
-        kinds = []
-        for k, line in enumerate(lines):
-            if not line:
-                kinds.append("blank")
-            elif x[k, 0] <= 2 and line[-1] in ".?!,;":  # the end of a paragraph
-                kinds.append("text")
-            elif header[k] >= 0.5 and header[k] >= page[k]:
-                kinds.append("header")
-            elif page[k] >= 0.5 and x[k, 2] and not x[k, 13]:
-                kinds.append("page_number")
-            else:
-                kinds.append("text")
-        ends = broken_ends(lines, [k for k, kind in enumerate(kinds) if kind == "text"])
+        at, all_kinds, ends, places = 0, [], [], []
+        for n, (stored, lines) in enumerate(parts):
+            if len(lines) == 1:
+                all_kinds.append(["text" if lines[0] else "blank"])
+                continue
+            kinds = []
+            for k, line in enumerate(lines, at):
+                if not line:
+                    kinds.append("blank")
+                elif x[k, 0] <= 2 and line[-1] in ".?!,;":  # the end of a paragraph
+                    kinds.append("text")
+                elif header[k] >= 0.5 and header[k] >= page[k]:
+                    kinds.append("header")
+                elif page[k] >= 0.5 and x[k, 2] and not x[k, 13]:
+                    kinds.append("page_number")
+                else:
+                    kinds.append("text")
+            at += len(lines)
+            all_kinds.append(kinds)
+            for line, head, tail in broken_ends(lines, [k for k, kind in enumerate(kinds) if kind == "text"]):
+                ends.append(break_features(head, tail, self.frequency, self.skeletons, stored[line]))
+                places.append((n, line))
         if ends:
-            p = self.broken.predict(np.array([break_features(h, t, self.frequency, self.skeletons, stored[at]) for at, h, t in ends], np.float32))
-            for (at, _, _), yes in zip(ends, p >= 0.5, strict=True):
+            for (n, line), yes in zip(places, self.broken.predict(np.array(ends, np.float32)) >= 0.5, strict=True):
                 if yes:
-                    kinds[at] = "broken"
-        return list(zip(kinds, lines, strict=True))
+                    all_kinds[n][line] = "broken"
+        return [list(zip(kinds, lines, strict=True)) for kinds, (_, lines) in zip(all_kinds, parts, strict=True)]
 
 
 # ---------------------------------------------------------------- misread words
@@ -430,8 +450,8 @@ def _looked(texts: DataFrame, models) -> DataFrame:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             m = models.value
-            for table, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seen = m.look(text)
+            tables, keys, texts = (c.to_pylist() for c in batch.columns)
+            for table, key, seen in zip(tables, keys, m.look(texts), strict=True):
                 tails = {k for k, (kind, _) in enumerate(seen) if kind == "broken"}
                 formula = in_formula([line for _, line in seen], [kind for kind, _ in seen])
                 open_break = False
