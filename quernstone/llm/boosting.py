@@ -11,7 +11,7 @@ class BoostedTrees:
     def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.3, bins: int = 32, ridge: float = 1.0):
         self.rounds, self.depth, self.rate, self.bins, self.ridge = rounds, depth, rate, bins, ridge
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.base = 0.0
+        self.base = -20.0  # untrained, it calls nothing class 1
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         x, y = np.asarray(x, np.float32), np.asarray(y, np.float64)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernstone.llm.forms import one_form
+from quernstone.runtime import materialize
 
 THRESHOLD = 0.41
 # Spellings that stand for no value.
@@ -117,29 +118,36 @@ def similarity_join(values: DataFrame, entries: DataFrame, threshold: float = TH
 
     ``list`` names the canonical list a value belongs to; only pairs of one list are joined.
     """
-    left = values.select(F.struct("list", "value").alias("v"), "value").transform(lambda d: _with_grams(d, "v", "value")).select(F.col("v.list").alias("list"), F.col("v.value").alias("item"), "way", "grams")
+    keyed = values.select("list", "value", F.md5("value").alias("key"))  # rows of grams carry the key, whatever the length of the value
+    left = keyed.select(F.struct("list", "key").alias("v"), "value").transform(lambda d: _with_grams(d, "v", "value")).select(F.col("v.list").alias("list"), F.col("v.key").alias("item"), "way", "grams")
     right = entries.select(F.struct("list", "id").alias("e"), "title").transform(lambda d: _with_grams(d, "e", "title")).where("way = 0").select(F.col("e.list").alias("list"), F.col("e.id").cast("string").alias("item"), F.lit(-1).alias("way"), "grams")
     sets = left.unionByName(right)
     rarity = sets.select("list", F.explode("grams").alias("gram")).groupBy("list", "gram").agg(F.count("*").alias("n"))
     # each set's grams by rarity, with their place: (place, gram) of the prefix is what gets joined
     placed = sets.select("list", "item", "way", F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(rarity, ["list", "gram"])
     ordered = placed.groupBy("list", "item", "way", "size").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("ranked")).select("list", "item", "way", "size", F.col("ranked.gram").alias("ranked"))
+    ordered = materialize(ordered, "ranked-grams")
     prefix = F.slice("ranked", F.lit(1), F.col("size") - F.ceil(F.col("size") * threshold).cast("int") + 1)
-    probes = ordered.select("list", "item", "way", "size", "ranked", F.posexplode(prefix).alias("at", "gram"))
-    a = probes.where("way >= 0").select("list", "gram", F.col("item").alias("value"), "way", F.col("size").alias("sa"), F.col("at").alias("pa"), F.col("ranked").alias("ra"))
-    b = probes.where("way < 0").select("list", "gram", F.col("item").alias("id"), F.col("size").alias("sb"), F.col("at").alias("pb"), F.col("ranked").alias("rb"))
+    probes = ordered.select("list", "item", "way", "size", F.posexplode(prefix).alias("at", "gram"))  # the whole sets stay behind
+    a = probes.where("way >= 0").select("list", "gram", F.col("item").alias("key"), "way", F.col("size").alias("sa"), F.col("at").alias("pa"))
+    b = probes.where("way < 0").select("list", "gram", F.col("item").alias("id"), F.col("size").alias("sb"), F.col("at").alias("pb"))
     least = F.ceil((F.col("sa") + F.col("sb")) * (threshold / (1 + threshold)) - 1e-9)
     possible = F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb"))
     met = (
         a.join(b, ["list", "gram"])
         .where((F.col("sa") * threshold <= F.col("sb")) & (F.col("sb") * threshold <= F.col("sa")))  # length filter
         # positional filter: in its first common gram a pair cannot have more in common than what follows
-        .groupBy("list", "value", "way", "id")
-        .agg(F.min(F.struct("pa", possible.alias("possible"), least.alias("least"), "sa", "sb", "ra", "rb")).alias("m"))
+        .groupBy("list", "key", "way", "id")
+        .agg(F.min(F.struct("pa", possible.alias("possible"), least.alias("least"))).alias("m"))
         .where("m.possible >= m.least")
+        .select("list", "key", "way", "id")
     )
-    common = F.size(F.array_intersect("m.ra", "m.rb"))
-    return met.select("list", "value", F.col("id").cast("int").alias("id"), (common / (F.col("m.sa") + F.col("m.sb") - common)).alias("similarity")).where(F.col("similarity") >= threshold)
+    left_sets = ordered.where("way >= 0").select("list", F.col("item").alias("key"), "way", F.col("ranked").alias("ga"))
+    right_sets = ordered.where("way < 0").select("list", F.col("item").alias("id"), F.col("ranked").alias("gb"))
+    both = met.join(left_sets, ["list", "key", "way"]).join(right_sets, ["list", "id"])
+    common = F.size(F.array_intersect("ga", "gb"))
+    scored = both.select("list", "key", F.col("id").cast("int").alias("id"), (common / (F.size("ga") + F.size("gb") - common)).alias("similarity"))
+    return scored.where(F.col("similarity") >= threshold).join(keyed, ["list", "key"]).select("list", "value", "id", "similarity")
 
 
 def best_entries(values: DataFrame, entries: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -20,7 +20,8 @@ only, not on partitioning, since shards and ties are ordered by hash and key.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right, insort
+import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,6 @@ _WORD = re.compile(r"[^\W_]{2,}")
 
 
 def _slot(word: str) -> int:
-    import zlib
-
     return zlib.crc32(word.encode()) % SLOTS
 
 
@@ -117,8 +116,10 @@ def _pack(pieces: pd.DataFrame, idf: np.ndarray, mean: float, capacity: int) ->
                     break
                 if space < capacity // 4:
                     break
-            while free and free[0][0] <= space:  # the rest: the largest piece that fits
-                row = -free[bisect_right(free, (space, 0)) - 1][1] if free[0][0] <= space else None
+            while free and free[0][0] <= space:  # the rest: the largest piece that fits, of several the nearest
+                last = bisect_right(free, (space, 0))
+                first = bisect_left(free, (free[last - 1][0], -n))
+                row = max((-k for _, k in free[first:last]), key=lambda k: (score[k], -k))
                 take(row)
                 space -= int(sizes[row])
         used += 1

@@ -161,38 +161,36 @@ def table_cells(lines: list[str]) -> list[bool]:
 
     If more than k numbers follow, those beside a line of words that interrupts them are left out first.
     """
-    cell = [bool(_INTERVAL.match(line)) for line in lines]
+    interval = [bool(_INTERVAL.match(line)) for line in lines]
+    cell = interval[:]
+
+    def beside_words(at: int) -> int:
+        return sum(1 for x in (at - 1, at + 1) if 0 <= x < len(lines) and len(words_of(lines[x])) >= 3)
+
     k = 0
     while k < len(lines):
-        if not cell[k]:
+        if not interval[k]:
             k += 1
             continue
         last, count = k, 0
-        while k < len(lines) and (cell[k] or not lines[k].strip() or (k + 1 < len(lines) and any(cell[k + 1 : k + 4]))):
-            if cell[k]:
+        while k < len(lines) and (interval[k] or not lines[k].strip() or any(interval[k + 1 : k + 4])):
+            if interval[k]:
                 last, count = k, count + 1
             k += 1
         numbers, others = [], 0
         for at in range(last + 1, min(len(lines), last + 3 * count + 8)):
-            line = lines[at]
-            if _CELL.match(line):
+            if _CELL.match(lines[at]):
                 numbers.append(at)
-            elif line.strip():
+            elif lines[at].strip():
                 others += 1
                 if others > 4 or len(numbers) >= count:
                     break
-        if len(numbers) > count:
-            def beside(at: int) -> int:
-                near = [lines[x] for x in (at - 1, at + 1) if 0 <= x < len(lines)]
-                return -sum(1 for x in near if len(words_of(x)) >= 3)
-
-            keep = sorted(sorted(numbers, key=lambda at: (-beside(at), at))[:count])
-            numbers = keep
-        for at in numbers[:count]:
+        for at in sorted(numbers, key=lambda at: (beside_words(at), at))[:count]:
             cell[at] = True
     return cell
 
 
+# Words and letters that stand beside a page number, folded.
 PAGE_WORDS = {"trang", "page", "tr", "of", "pagina", "p", "a", "g", "e", "ma", "de"}
 
 
