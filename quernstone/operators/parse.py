@@ -48,7 +48,7 @@ def answer_key(text: Column, least: int = 5) -> Column:
     numbers = F.regexp_extract_all(text, F.lit(r"(\d+)\s*[-.:)]?\s*([A-D])(?![A-Za-z])"), F.lit(1))
     letters = F.regexp_extract_all(text, F.lit(r"(\d+)\s*[-.:)]?\s*([A-D])(?![A-Za-z])"), F.lit(2))
     # later entries first, then the first of each number
-    pairs = F.reverse(F.arrays_zip(numbers.alias("n"), letters.alias("l")))
+    pairs = F.reverse(F.transform(numbers, lambda n, k: F.named_struct(F.lit("n"), n, F.lit("l"), F.get(letters, k))))
     last = F.filter(pairs, lambda p, k: F.size(F.filter(F.slice(pairs, 1, k), lambda q: q["n"] == p["n"])) == 0)
     return F.when(F.size(numbers) >= least, F.map_from_arrays(F.transform(last, lambda p: p["n"].cast("int")), F.transform(last, lambda p: p["l"])))
 
