@@ -99,6 +99,7 @@ COPIED, RUN = 0.8, 3
 _FORMULA = re.compile(r"\$[^$]*\$")
 _WORD = re.compile(r"[^\W_]+")
 _LETTER = re.compile(r"[^\W\d_]")
+_BRACKETS = re.compile(r"[()\[\]{}]")
 _SENTENCE = re.compile(r"[.!?…](?=\s|$)")
 _CONCLUSION = re.compile(r"(?:nen |vay |do do |suy ra |so |therefore |thus |hence )*(?:ta )?(?:chon|dap so|dap an|suy ra|vay|ket luan|ket qua|do do|the final|final|therefore|hence|thus|so the|we choose|the answer|answer)\b")
 _OPEN_END = re.compile(r"(?:[,:;(\[{=+\-–*/<>\\]|\b(?:bang|la|va|(?<!\d )do|suy ra|tuc la|vi|nen|voi|ta co|thi|ma|cua|tai|cho|and|which|gives|therefore|because|so|the|of|is|to|that|we|hence|where|but))$")
@@ -129,6 +130,8 @@ def refuses(words: list[str]) -> bool:
     """Runs of the automaton from each word at once; a wildcard state stays for up to three words."""
     live: list[tuple[dict, int]] = []
     for word in words:
+        if not live and word not in _REFUSE:
+            continue
         following = []
         for state, rest in [*live, (_REFUSE, 0)]:
             step = state.get(word)
@@ -203,12 +206,10 @@ def _without_headings(folded: str) -> str:
     return folded
 
 
-def is_empty(response: str | None) -> bool:
-    if response is None:
-        return True
-    body = _without_headings(fold(response) + " :")[:-2].strip() if response.strip() else ""
-    body = body if body else ""
-    bare = " ".join(_WORD.findall(body))
+def is_empty(folded: str) -> bool:
+    """Whether the folded response has no content."""
+    body = _without_headings(folded + " :")[:-2].strip()
+    bare = " ".join(_WORD.findall(body[:200]))  # a longer one is no spelling of nothing
     return not bare or body.strip(" .") in PSEUDO_NULL or bare in PSEUDO_NULL
 
 
@@ -219,13 +220,13 @@ def has_letter(answer: str | None) -> bool:
     return text.strip(" .") not in PSEUDO_NULL and any(word in ("a", "b", "c", "d") for word in _WORD.findall(text))
 
 
-def is_truncated(response: str) -> bool:
-    text = one_form(response)
+def is_truncated(text: str) -> bool:
+    """Whether a response, in the one form, breaks off."""
     if text.count("$") % 2:
         return True
     plain = _FORMULA.sub("$", text)
     depth = 0
-    for sign in plain:
+    for sign in _BRACKETS.findall(plain):
         depth += (sign in "([{") - (sign in ")]}" and depth > 0)
     if depth:
         return True
@@ -261,25 +262,23 @@ def votes(text: str) -> list[int]:
     return counts
 
 
-def language_of(text: str | None) -> str | None:
-    counts = votes(one_form(text or ""))
+def language_of(form: str) -> str | None:
+    counts = votes(form)
     best = max(range(len(counts)), key=counts.__getitem__)
     return LANGUAGES[best] if counts[best] >= LEAST_VOTES else None
 
 
-def is_other_language(question: str | None, response: str) -> bool:
+def is_other_language(question: str, response: str) -> bool:
+    """Whether the response is in another language than the question, both in the one form."""
     own = language_of(question)
     if own is None:
         return False
-    counts = votes(one_form(response))
-    mine = counts[LANGUAGES.index(own)]
-    best = max(counts)
-    return best >= LEAST_VOTES and best > MARGIN * mine
+    counts = votes(response)
+    return max(counts) >= LEAST_VOTES and max(counts) > MARGIN * counts[LANGUAGES.index(own)]
 
 
-def copies(question: str | None, response: str) -> bool:
-    words = _WORD.findall(_without_headings(fold(response)))
-    known = _WORD.findall(fold(question or ""))
+def copies(known: list[str], words: list[str]) -> bool:
+    """Whether the words of a response are copied from those of the question."""
     if not words or not known:
         return False
     shared = set(known)
@@ -289,20 +288,25 @@ def copies(question: str | None, response: str) -> bool:
 
 
 def defects_of(kind: str | None, question: str | None, answer: str | None, response: str | None) -> list[str]:
-    found = []
-    if is_empty(response):
+    """The defects of one pair, each text folded once for all tests."""
+    form = one_form(response or "")
+    folded = fold(form)
+    if is_empty(folded):
         return ["empty"]
+    asked = one_form(question or "")
+    found = []
     if kind == "multiple_choice" and not has_letter(answer):
         found.append("empty")
-    refusal = refuses(_WORD.findall(fold(response)))
-    copied = not refusal and copies(question, response)
+    words = _WORD.findall(folded)
+    refusal = refuses(words)
+    copied = not refusal and copies(_WORD.findall(fold(asked)), _WORD.findall(_without_headings(folded)))
     if refusal:
         found.append("refusal")
-    if copied:
+    elif copied:
         found.append("copy")
-    if not refusal and not copied and is_truncated(response):
+    elif is_truncated(form):
         found.append("truncated")
-    if is_other_language(question, response):
+    if is_other_language(asked, form):
         found.append("language")
     return found
 

@@ -51,12 +51,13 @@ AROUND = re.compile(
 )
 _TELEX_VOWELS = (("uw", "u"), ("ow", "o"), ("aw", "a"), ("aa", "a"), ("ee", "e"), ("oo", "o"), ("dd", "d"))
 _WORD = re.compile(r"[a-z0-9]+")
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")
 SIZES = (2, 3)
 
 
 def fold(text: str) -> str:
-    text = unicodedata.normalize("NFD", one_form(text, fold_case=True))
-    return "".join(c for c in text if not unicodedata.combining(c)).replace("đ", "d")
+    """Case-folded one form without accents."""
+    return _MARKS.sub("", unicodedata.normalize("NFD", one_form(text, fold_case=True))).replace("đ", "d")
 
 
 def _from_keys(word: str) -> str:
