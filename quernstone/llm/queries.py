@@ -9,10 +9,18 @@ from quernstone.llm import answers, canonical, encoding, forms, neardup, packing
 from quernstone.runtime import table
 
 
-def p1_found(spark: SparkSession, root: str) -> DataFrame:
+def _questions(spark: SparkSession, root: str) -> DataFrame:
     bank = table(spark, root, "random_sources_preview").select(F.col("question_id").alias("id"), F.col("question_text").alias("text"))
-    exam = table(spark, root, "standard_exam_questions").select("id", F.col("question_text").alias("text"))
-    return neardup.record_pairs(*neardup.near_duplicates(bank.unionByName(exam)))
+    return bank.unionByName(table(spark, root, "standard_exam_questions").select("id", F.col("question_text").alias("text")))
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return neardup.record_pairs(*neardup.near_duplicates(_questions(spark, root)))
+
+
+def p1_groups(spark: SparkSession, root: str) -> DataFrame:
+    """The group of records that hold the same question, and the links of each record's class."""
+    return splits.groups(*neardup.near_duplicates(_questions(spark, root)))
 
 
 #: Fields of the bank with the list, id and title that are canonical for them.
@@ -62,19 +70,17 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return forms.same_looking_pairs(rows)
 
 
-def _bank_splits(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    bank = table(spark, root, "random_sources_preview")
-    records, nodes, ties = splits.bank_graph(bank)
-    return records, splits.update_components(nodes, ties, table(spark, root, "split_targets"))
-
-
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
-    return splits.file_pairs(*_bank_splits(spark, root))
+    """A record without a file ties nothing here, so such records are left out before the ties are made."""
+    bank = table(spark, root, "random_sources_preview").where("source_file is not null")
+    records, nodes, ties = splits.bank_graph(bank)
+    return splits.file_pairs(records, splits.update_components(nodes, ties, table(spark, root, "split_targets")))
 
 
 def p2_splits(spark: SparkSession, root: str) -> DataFrame:
-    """The split of every record."""
-    records, placed = _bank_splits(spark, root)
+    """The split of every record; records without a file stay with those that hold the same question."""
+    records, nodes, ties = splits.bank_graph(table(spark, root, "random_sources_preview"))
+    placed = splits.update_components(nodes, ties, table(spark, root, "split_targets"))
     return records.select("id", "node").distinct().join(placed.select("node", "split"), "node").select(F.col("id").alias("question_id"), "split")
 
 
@@ -100,7 +106,7 @@ def p9_found(spark: SparkSession, root: str) -> DataFrame:
 
 def queries() -> dict:
     return {
-        "p1_found": p1_found,
+        "p1_found": p1_found, "p1_groups": p1_groups,
         "p2_found": p2_found, "p2_splits": p2_splits,
         "p3_found": p3_found,
         "p4_found": p4_found, "p4_repaired": p4_repaired,

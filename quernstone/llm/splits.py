@@ -133,32 +133,45 @@ def _placed(per: DataFrame, targets: DataFrame) -> DataFrame:
     return per.where("split is not null").unionByName(small).unionByName(big)
 
 
+def class_name(a: str, b: str) -> F.Column:
+    """Name of the node of a class of equal word sets."""
+    return F.concat(F.lit("q"), F.hex(a), F.hex(b))
+
+
 def bank_graph(bank: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records, nodes, ties) of the question bank.
 
     A node is a source file by its case-folded form, or the record itself where the file is
     null; a class of near-equal questions is a node of size 0 that ties the files of its
-    records.  records: (id, file, node).
+    records.  records: (id, file, node).  Leave records without a file out of ``bank`` where
+    they must not tie the files of others.
     """
     rows = with_form(bank.select(F.col("question_id").alias("id"), F.col("source_file").alias("file")).where("id is not null").distinct(), "file", "form", fold_case=True)
-    # two prefixes keep the names of files, records and classes apart
+    # prefixes keep the names of files, records and classes apart
     node = F.coalesce(F.concat(F.lit("f"), F.md5("form")), F.concat(F.lit("r"), F.md5("id")))
     records = materialize(rows.select("id", "file", node.alias("node")), "split-records")
     nodes = records.select("id", "node").distinct().groupBy("node").agg(F.count("*").alias("size"))
     members, links = near_duplicates(bank.select(F.col("question_id").alias("id"), F.col("question_text").alias("text")))
-
-    def name(a: str, b: str):
-        return F.concat(F.lit("q"), F.hex(a), F.hex(b))
-
     of_class = records.select("id", "node").distinct().join(members, "id").select("node", "h1", "h2").distinct()
     linked = links.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionByName(links.select(F.col("b1").alias("h1"), F.col("b2").alias("h2")))
     several = of_class.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     useful = linked.unionByName(several).distinct()
-    ties = of_class.join(useful, ["h1", "h2"], "left_semi").select(F.col("node").alias("a"), name("h1", "h2").alias("b"))
-    ties = ties.unionByName(links.select(name("a1", "a2").alias("a"), name("b1", "b2").alias("b")))
+    ties = of_class.join(useful, ["h1", "h2"], "left_semi").select(F.col("node").alias("a"), class_name("h1", "h2").alias("b"))
+    ties = ties.unionByName(links.select(class_name("a1", "a2").alias("a"), class_name("b1", "b2").alias("b")))
     return records, nodes, ties
 
 
+def groups(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, group, n_links): for each record its group of linked classes and how many other classes its own is linked to."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2")), F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")))).alias("e")).select("e.h1", "e.h2")
+    counts = ends.groupBy("h1", "h2").agg(F.count("*").alias("n_links"))
+    named = counts.select("h1", "h2", "n_links", class_name("h1", "h2").alias("node"))
+    tied = components(named.select("node"), links.select(class_name("a1", "a2").alias("a"), class_name("b1", "b2").alias("b")))
+    linked = named.join(tied, "node").select("h1", "h2", "n_links", "component")
+    group = F.coalesce("component", class_name("h1", "h2"))
+    return members.join(linked, ["h1", "h2"], "left").select("id", group.alias("group"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def file_pairs(records: DataFrame, table: DataFrame) -> DataFrame:
     """Pairs (file_a, file_b) of different stored file names whose nodes lie in one component."""
     files = records.where("file is not null").select("file", "node").distinct().join(table.select("node", "component"), "node").select("file", "component").distinct()
