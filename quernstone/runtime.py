@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -42,3 +43,24 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Keys with several rows up to which they are sent to every task.
+FEW_KEYS = 200_000
+
+
+def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key, without shuffling the rows whose key occurs once.
+
+    A first pass reads the key columns alone.  If no key repeats the rows stay where they are;
+    if at most ``FEW_KEYS`` do, only their rows are gathered; beyond that all are.
+    """
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
+    n = repeated.limit(FEW_KEYS + 1).count()
+    if n == 0:
+        return df
+    if n > FEW_KEYS:
+        return df.dropDuplicates(keys)
+    few = F.broadcast(repeated.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))))
+    same = [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return df.join(few, same, "left_anti").unionByName(df.join(few, same, "left_semi").dropDuplicates(keys))
