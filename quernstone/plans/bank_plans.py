@@ -301,7 +301,7 @@ def qb_nested_histograms(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("source_name", F.explode(pairs).alias("p")).groupBy("source_name", "p.kind", "p.value").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {BANK} SELECT question_id, n_boxed, valid FROM (SELECT question_id, len(visual_bbox) AS n_boxed, coalesce(len(visual_bbox) = 4 AND len(list_filter(visual_bbox, lambda x: x >= 0 AND x <= 1)) = 4 AND visual_bbox[3] > visual_bbox[1] AND visual_bbox[4] > visual_bbox[2], false) AS valid FROM bank WHERE visual_bbox IS NOT NULL)""")
+@query(f"""WITH {BANK} SELECT question_id, n_boxed, valid FROM (SELECT question_id, CAST(len(visual_bbox) AS INTEGER) AS n_boxed, coalesce(len(visual_bbox) = 4 AND len(list_filter(visual_bbox, lambda x: x >= 0 AND x <= 1)) = 4 AND visual_bbox[3] > visual_bbox[1] AND visual_bbox[4] > visual_bbox[2], false) AS valid FROM bank WHERE visual_bbox IS NOT NULL)""")
 def qb_boxes(spark: SparkSession, root: str) -> DataFrame:
     """Boxes of figures and whether they can be one."""
     return bank(spark, root, "visual_bbox").where("visual_bbox is not null").select("question_id", F.size("visual_bbox").alias("n_boxed"), values.valid_box(F.col("visual_bbox")).alias("valid"))
@@ -323,7 +323,7 @@ def qb_options(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(f"""WITH {BANK}, s AS (SELECT question_id, unnest(from_json(statements, '[{{"label":"VARCHAR","text":"VARCHAR","answer":"BOOLEAN"}}]'), recursive := true) FROM bank WHERE json_valid(statements))
-SELECT question_id, label, answer, length(text) AS n_chars FROM s""")
+SELECT question_id, label, answer, CAST(length(text) AS INTEGER) AS n_chars FROM s""")
 def qb_statements(spark: SparkSession, root: str) -> DataFrame:
     """A row for each statement of true/false questions, from its JSON."""
     rows = bank(spark, root, "statements").select("question_id", F.explode(F.from_json("statements", "array<struct<label:string,text:string,answer:boolean>>")).alias("s"))

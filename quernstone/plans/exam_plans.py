@@ -154,7 +154,7 @@ def block_options(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(rf"""WITH {_BLOCKS}, l AS (SELECT ordinal, list_filter(string_split(raw_block, chr(10)), lambda x: trim(x) <> '' AND NOT regexp_matches(x, '^\s*[-~—\[]*\s*[0-9]+\s*[-~—\]]*\s*$|^\s*(?:Trang|Page|Tr\.)')) AS kept FROM b WHERE raw_block IS NOT NULL)
-SELECT ordinal, len(kept) AS n_lines, sha1(array_to_string(kept, chr(10))) AS digest FROM l""")
+SELECT ordinal, CAST(len(kept) AS INTEGER) AS n_lines, sha1(array_to_string(kept, chr(10))) AS digest FROM l""")
 def block_without_furniture(spark: SparkSession, root: str) -> DataFrame:
     """Scanned blocks without blank lines and plain page numbers."""
     kept = text.without_lines(F.col("raw_block"), r"^\s*[-~—\[]*\s*[0-9]+\s*[-~—\]]*\s*$|^\s*(?:Trang|Page|Tr\.)")
