@@ -6,9 +6,8 @@ English share the models, as their words hardly overlap.
 
 Training counts cover the labelled texts, at most ``TRAIN_DOCS`` of them (those with the
 least hash of their id, so the choice is the same at every size); a text judged several times
-counts with the level given most often, the lower one in a tie.  A word counts once a
-sentence-like run of ``RUN`` words in which it stands, so that a phrase repeated through a
-long text does not outvote the rest.  Words the labels never showed add nothing.
+counts with the level given most often, the lower one in a tie.  Words that fewer than
+``LEAST_DOCS`` labelled texts hold add nothing.
 
 Defined results: texts under 25 words (pieces between white space with a letter in them),
 null and empty texts get no level; without any label no text gets one; repeated rows of a
@@ -17,7 +16,6 @@ document are one.
 
 from __future__ import annotations
 
-
 import re
 from collections.abc import Iterator
 
@@ -44,7 +42,7 @@ def n_words(text: str | None) -> int:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Words and pairs of neighbouring words, lower case, in the one form; tags and formulas are left out."""
+    """Words, lower case, in the one form; tags and formulas are left out."""
     return _WORD.findall(one_form(_TAG.sub(" ", text or "")).lower())
 
 
@@ -54,7 +52,7 @@ def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "reading_level"))
     judged = votes.withColumn("k", first).where("k = 1").select("doc_id", F.col("reading_level").alias("level"))
     judged = judged.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
-    texts = documents.select("doc_id", "text").where("text is not null").join(judged, "doc_id")
+    texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(judged), "doc_id")  # at most TRAIN_DOCS rows
     return texts.groupBy("doc_id", "level").agg(F.min("text").alias("text"))
 
 
@@ -79,11 +77,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class LevelModels:
-    """Log likelihood of each known word under each level's smoothed model, relative to the mean of the levels."""
+    """Log likelihood of each known word under each level's smoothed model, and the log share of each level among the judged texts."""
 
-    def __init__(self, counts: list[tuple[str, int, int, int]]):
+    def __init__(self, counts: list[tuple[str, int, int, int]], judged: dict[int, int]):
         levels = sorted({level for _, level, _, _ in counts})
         self.levels = levels
+        self.prior = np.log([judged.get(level, 0) + SMOOTHING for level in levels]) if levels else np.zeros(0)
         docs: dict[str, int] = {}
         for word, _, _, n in counts:
             docs[word] = docs.get(word, 0) + n
@@ -94,27 +93,21 @@ class LevelModels:
             if word in at:
                 table[at[word], levels.index(level)] += n
         table = np.log(table / table.sum(axis=0, keepdims=True)) if len(kept) else table
-        self.weights = {word: table[k] for word, k in at.items()}
+        self.at, self.table = at, table
 
     def level(self, text: str | None) -> int | None:
         if not self.levels or n_words(text) < LEAST_WORDS:
             return None
-        total = np.zeros(len(self.levels))
-        counts: dict[str, int] = {}
-        for word in words_of(text):
-            counts[word] = counts.get(word, 0) + 1
-        for word, n in counts.items():
-            row = self.weights.get(word)
-            if row is not None:
-                total += n * row
-        return int(self.levels[int(total.argmax())])
+        known = [k for k in map(self.at.get, words_of(text)) if k is not None]
+        return int(self.levels[int((self.prior + self.table[known].sum(axis=0)).argmax())])
 
 
 def train(sample: DataFrame) -> LevelModels:
     """The models of ``sample`` (level, text); its words, those of at most TRAIN_DOCS texts, come to the driver counted."""
     counts = sample.select("level", "text").mapInArrow(_count, "word string, level int, n long, docs long")
     counts = counts.groupBy("word", "level").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return LevelModels([(r.word, r.level, r.n, r.docs) for r in counts.collect()])
+    judged = {r.level: r["count"] for r in sample.groupBy("level").count().collect()}  # one row a level
+    return LevelModels([(r.word, r.level, r.n, r.docs) for r in counts.collect()], judged)
 
 
 def with_level(documents: DataFrame, models: LevelModels) -> DataFrame:
