@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.encoding import encode, vocabulary, vocabulary_path
 from quernstone.llm.forms import one_form
-from quernstone.runtime import materialize
+from quernstone.runtime import materialize, one_row_each
 
 CAPACITY, SHARD, LOOSE, ROUNDS = 2048, 4096, 0.97, 3
 #: Slots of the hashed dictionary, which bound the broadcast table of document frequencies, and terms of a seed's query.
@@ -129,7 +129,7 @@ def _pack(pieces: pd.DataFrame, idf: np.ndarray, mean: float, capacity: int) ->
 def pack(documents: DataFrame, capacity: int = CAPACITY, path: str | None = None, shard: int = SHARD) -> DataFrame:
     """(doc_id, piece, first_token, n_tokens, container) of ``documents`` (doc_id, text)."""
     spark = documents.sparkSession
-    rows = documents.select(F.col("doc_id"), "text").where("doc_id is not null").dropDuplicates(["doc_id"])
+    rows = one_row_each(documents.select("doc_id", "text").where("doc_id is not null"), ["doc_id"])
     sized = materialize(rows.mapInArrow(_prepared(path or vocabulary_path()), "doc_id long, n_tokens int, slots array<int>, counts array<int>"), "sized")
     facts = sized.agg(F.count("*").alias("n"), F.avg(F.coalesce(F.aggregate("counts", F.lit(0), lambda a, x: a + x), F.lit(0))).alias("mean")).first()
     n, mean = facts.n, facts.mean or 1.0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, scans, splits
-from quernstone.runtime import table
+from quernstone.runtime import one_row_each, table
 
 
 def _questions(spark: SparkSession, root: str) -> DataFrame:
@@ -92,7 +92,7 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
-    return encoding.with_ids(table(spark, root, "documents").select("doc_id", "text").dropDuplicates(["doc_id"]))
+    return encoding.with_ids(one_row_each(table(spark, root, "documents").select("doc_id", "text"), ["doc_id"]))
 
 
 def p8_packing(spark: SparkSession, root: str) -> DataFrame:

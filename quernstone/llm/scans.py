@@ -35,7 +35,7 @@ from pyspark.sql.window import Window
 
 from quernstone.llm.boosting import BoostedTrees
 from quernstone.llm.forms import one_form
-from quernstone.runtime import materialize
+from quernstone.runtime import materialize, one_row_each
 
 TRAIN_RECORDS = 3000
 #: Words of the dictionary that every task holds: the most frequent ones.
@@ -117,11 +117,11 @@ def scanned(blocks: DataFrame, bank: DataFrame) -> DataFrame:
             texts = [lines_of_json(raw) for raw in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row_key", "text"]).filter(pa.array([t is not None for t in texts]))
 
-    inner = bank.select(F.col("row_key").cast("string"), "raw").mapInArrow(run, "row_key string, text string")
-    rows = blocks.select(F.lit("mineru_preview_10_questions").alias("source_table"), F.col("row_key").cast("string"), "text").unionByName(
-        inner.select(F.lit("random_sources_preview").alias("source_table"), "row_key", "text")
-    )
-    return rows.where("row_key is not null and text is not null").dropDuplicates(["source_table", "row_key"])
+    bank = one_row_each(bank.select(F.col("row_key").cast("string"), "raw").where("row_key is not null and raw is not null"), ["row_key"])
+    blocks = one_row_each(blocks.select(F.col("row_key").cast("string"), "text").where("row_key is not null and text is not null"), ["row_key"])
+    inner = bank.mapInArrow(run, "row_key string, text string").withColumn("source_table", F.lit("random_sources_preview"))
+    rows = blocks.withColumn("source_table", F.lit("mineru_preview_10_questions")).unionByName(inner)
+    return rows.select("source_table", "row_key", "text")
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -481,7 +481,9 @@ def study(texts: DataFrame, clean: DataFrame, labelled: DataFrame):
     dictionary = materialize(count_words(clean), "dictionary")
     frequent = {r.word: r.n for r in dictionary.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
     models = LineModels(frequent)
-    sample = labelled.where(F.col("raw").contains("\\n") & F.col("clean").isNotNull()).dropDuplicates(["key"]).orderBy(F.xxhash64("key"), "key").limit(TRAIN_RECORDS)
+    several = labelled.where(F.col("raw").contains("\\n") & F.col("clean").isNotNull())
+    keys = several.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(TRAIN_RECORDS)  # keys first: no text is sorted
+    sample = several.join(F.broadcast(keys), "key").dropDuplicates(["key"])
     records = [(text, r.clean) for r in sample.select("raw", "clean").collect() for text in [lines_of_json(r.raw)] if text and "\n" in text]
     truth = models.fit(records)
     train_words = {w for scan, _ in records for line in one_form_lines(scan) for w in words_of(line) if w not in models.known and is_wordlike(w)}
