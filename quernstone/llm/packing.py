@@ -22,7 +22,9 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -41,6 +43,7 @@ K1, B = 1.2, 0.75
 _WORD = re.compile(r"[^\W_]{2,}")
 
 
+@lru_cache(maxsize=1 << 17)
 def _slot(word: str) -> int:
     return zlib.crc32(word.encode()) % SLOTS
 
@@ -55,9 +58,9 @@ def _prepared(path: str):
             for text in batch.column(1).to_pylist():
                 sizes.append(len(encode(text, words)))
                 found: dict[int, int] = {}
-                for word in _WORD.findall(one_form(text or "").lower()):
+                for word, n in Counter(_WORD.findall(one_form(text or "").lower())).items():
                     slot = _slot(word)
-                    found[slot] = found.get(slot, 0) + 1
+                    found[slot] = found.get(slot, 0) + n
                 slots.append(list(found)), counts.append(list(found.values()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int32()), pa.array(slots, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
