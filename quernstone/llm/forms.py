@@ -66,14 +66,20 @@ class _FormOfCharacter(dict):
 
 _CHARACTERS = _FormOfCharacter()
 # Plain texts, which are most, need no work: single spaces between printable ASCII and precomposed Latin letters.
-_PLAIN = re.compile(r"(?:[!-~À-ÏÑ-þĀ-ſƠơƯưẠ-ỹ]+(?: |\Z))*\Z")
+_PLAIN = re.compile(r"(?:[!-~À-ÏÑ-þĀ-ıĴ-ĽŁ-ňŊ-žƠơƯưẠ-ỹ]+(?: |\Z))*\Z")
 _BLANKS = re.compile(r" {2,}")
+# The same with other ASCII white space, which only has to be squashed.
+_SPACED = re.compile(r"[\t\n\r !-~À-ÏÑ-þĀ-ıĴ-ĽŁ-ňŊ-žƠơƯưẠ-ỹ]*\Z")
 
 
 def one_form(text: str | None, fold_case: bool = False) -> str | None:
     if text is None:
         return None
-    if not (_PLAIN.match(text) and text[-1:] != " " and "ſ" not in text and "ŀ" not in text and "ŉ" not in text):
+    if _PLAIN.match(text) and text[-1:] != " ":
+        pass
+    elif _SPACED.match(text):
+        text = " ".join(text.split())
+    else:
         text = unicodedata.normalize("NFC", text.translate(_CHARACTERS))
         text = _BLANKS.sub(" ", text).strip(" ")
     return unicodedata.normalize("NFC", text.casefold()) if fold_case else text

@@ -41,3 +41,9 @@ def test_extra_and_clashing_columns_pass_through(rows):
     table = rows([(1, "ａ", "old")], "form long, text string, other string")
     got = forms.with_form(table, "text").first()
     assert got.form == "a" and got.other == "old" and got.text == "ａ"
+
+
+@given(st.text(st.characters(codec="utf-8", max_codepoint=0x2FFF), max_size=12))
+def test_fast_paths_give_what_the_table_gives(text):
+    slow = unicodedata.normalize("NFC", text.translate(forms._CHARACTERS))
+    assert forms.one_form(text) == forms._BLANKS.sub(" ", slow).strip(" ")
