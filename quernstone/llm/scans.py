@@ -49,7 +49,7 @@ CONFUSED = {
     "9": "g", "|": "i", "!": "i", "1": "i", "l": "i", "ı": "i", "0": "o", "6": "o", "8": "o", "b": "o", "€": "e", "3": "e", "5": "s", "$": "s",
     "@": "a", "4": "a", "7": "t", "2": "z", "m": "rn", "d": "ci", "w": "vv", "o'": "o", "u'": "u", "o’": "o", "u’": "u",
 }
-HYPHENS = "-‐‑¬­–"
+HYPHENS = "-\u2010\u2011\u00ac\u00ad\u2013"  # hyphens, the not sign a scan makes of one, soft hyphen, en dash
 _PIECE = re.compile(r"\S+")
 _FORMULA = re.compile(r"\$[^$]*\$")
 _EDGES = ".,;:?!()[]{}\"“”…*~"
@@ -150,7 +150,7 @@ def in_formula(lines: list[str], kinds: list[str]) -> list[bool]:
 
 def one_form_lines(text: str) -> list[str]:
     """The lines in the one form; soft hyphens at an end stay visible as hyphens."""
-    return [one_form(line.rstrip()[:-1] + "-" if line.rstrip().endswith("­") else line) for line in text.split("\n")]
+    return [one_form(line.rstrip()[:-1] + "-" if line.rstrip().endswith("\u00ad") else line) for line in text.split("\n")]
 
 
 # ---------------------------------------------------------------- line classifiers
@@ -310,7 +310,7 @@ class LineModels:
             n = len(line.split())
             if not n:
                 kinds.append("blank")
-            elif hit[k] >= 0.4 * n or any(c in line for c in "$") or (n <= 2 and not any(c.isdigit() for c in line)):
+            elif hit[k] >= 0.4 * n or "$" in line or (n <= 2 and not any(c.isdigit() for c in line)):
                 kinds.append("text")
             else:
                 letters = "".join(c for c in plain(line) if c.isalpha())
