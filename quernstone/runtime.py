@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +66,24 @@ def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
     few = F.broadcast(repeated.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))))
     same = [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     return df.join(few, same, "left_anti").unionByName(df.join(few, same, "left_semi").dropDuplicates(keys))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once a context, so that they need no path to it.
+
+    The archive lies in the shared folder where that is a mounted one; otherwise Spark itself
+    carries it from the driver to the executors.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_quernstone_shipped", False):
+        return
+    shared = shared_dir(spark)
+    folder = shared.removeprefix("file://").removeprefix("file:") if shared.startswith(("file:", "/")) else tempfile.mkdtemp(prefix="quernstone-")
+    os.makedirs(folder, exist_ok=True)
+    archive = os.path.join(folder, f"quernstone-{uuid.uuid4().hex}.zip")
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, str(path.relative_to(package.parent)))
+    context.addPyFile(archive)
+    context._quernstone_shipped = True

@@ -19,3 +19,25 @@ def test_materialized_tables_are_read_back(spark, rows):
     again = runtime.materialize(frame, "x")
     assert again.schema == frame.schema and again.collect() == frame.collect()
     assert runtime.shared_dir(spark).startswith("file:") and runtime.shuffle_partitions(spark) == 4
+
+
+def test_workers_need_no_path_to_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables here")
+    repo = str(Path(__file__).resolve().parent.parent)
+    script = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").getOrCreate()
+import __spark_entry__ as entry
+print("ROWS", entry.queries()["qb_provider_boundary"](spark, "/root/testdata/sf0.001").count(), entry.entry(spark).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in done.stdout, done.stderr[-2000:]
