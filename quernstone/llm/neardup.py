@@ -1,16 +1,19 @@
 """Groups of records that hold the same text with small edits (problem 1).
 
-Method: every different set of words gets a fingerprint of ``BITS`` bits, one bit of each of
-as many minwise hashes, so that two sets of similarity s differ in about (1 - s) / 2 of their
-bits.  The fingerprints are self-joined in a forest of binary tries.  The top levels of the
-trie of one band hold the values of ``ROWS`` minwise hashes and have no error budget: they
-shard the forest over tasks.  Below them pairs of nodes are walked down together; the
-differing bits add up, and a pair of nodes is dropped as soon as they exceed ``BUDGET``.
-What reaches the leaves is checked exactly on the sets of words.
-
-A pair of similarity 0.7 shares at least one of the 32 bands with probability 0.997 and keeps
-the budget with 0.999; at 0.8 both together miss less than one in ten thousand.  Equal sets of words are
-one class before all this, so a text that a third of all rows repeat is one fingerprint.
+Method: every different set of words gets ``BANDS`` band keys, each made of ``ROWS`` minwise
+hashes, and a fingerprint of ``BITS`` bits, each the parity of the number of its words that fall
+on that bit.  Sets of one band key are self-joined in a forest of binary tries over the
+fingerprints.  Pairs of nodes are walked down together; the differing bits add up, and a pair
+of nodes is dropped as soon as they exceed what any pair below it may differ in.  What reaches
+the leaves is checked exactly on the sets of words.
+
+The fingerprints lose nothing: a word in one of two sets only changes one bit, so they differ
+in at most as many bits as the sets do in words, and sets of a and b words with similarity t
+or more differ in at most (1 - t) / (1 + t) * (a + b) words and have sizes in a ratio of at
+least t.  Only the bands can miss: a pair of similarity s shares none of them with probability
+(1 - s ** ROWS) ** BANDS, which is 4.0e-7 at 0.7, 3.4e-8 at 0.72 and 3.9e-10 at 0.75.  Equal sets
+of words are one class before all this, so a text that a third of all rows repeat is one
+fingerprint.
 
 Defined results: null texts and texts without words are in no pair and no class; repeated
 rows of an id are one record; an id that occurs with several texts is compared by each of
@@ -32,7 +35,7 @@ from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, shuffle_partitions
 
 WORD = re.compile(r"[^\W_]+")
-ROWS, BANDS, BITS, BUDGET = 5, 32, 128, 32
+ROWS, BANDS, BITS = 5, 80, 128
 #: Rows of one band's top node that a single task joins; larger nodes are cut into blocks joined by several tasks.
 HOT = 8192
 #: Pairs of rows below which a pair of nodes is compared directly, and such comparisons done at a time.
@@ -81,16 +84,24 @@ def _minwise(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.minimum.reduceat(table[at], starts, axis=0)
 
 
+def _parities(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The fingerprint of each set in two words; ``starts`` has where each set begins in ``words``."""
+    bit = ((words.astype(np.int64).view(np.uint64) * np.uint64(0x9FB21C651E98DF25)) >> np.uint64(57)).astype(np.int64)
+    of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(words)]))
+    odd = np.bincount(of * BITS + bit, minlength=len(starts) * BITS).reshape(len(starts), BITS).astype(np.uint8) & 1
+    return np.packbits(odd, axis=1).view(">u8").astype(np.uint64)
+
+
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each band of each set: (band key, fingerprint in two words, id of the set)."""
+    """A row for each band of each set: (band key, fingerprint in two words, number of words, id of the set)."""
     for batch in batches:
         for at in range(0, batch.num_rows, 400):
             part = batch.slice(at, 400)
             lists = part.column(1)
             offsets = np.asarray(lists.offsets)
             words = np.asarray(lists.values)[offsets[0] : offsets[-1]]
-            least = _minwise(words, (offsets[:-1] - offsets[0]).astype(np.int64))
-            bits = np.packbits((least[:, :BITS] >> np.uint32(9)).astype(np.uint8) & 1, axis=1).view(">u8").astype(np.uint64).view(np.int64)
+            starts = (offsets[:-1] - offsets[0]).astype(np.int64)
+            least, bits = _minwise(words, starts), _parities(words, starts).view(np.int64)
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15), (len(least), BANDS)).copy()
             rows = least.reshape(len(least), BANDS, ROWS).astype(np.uint64)
             for k in range(ROWS):
@@ -98,13 +109,18 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 key ^= key >> np.uint64(33)
             ids = np.asarray(part.column(0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), *(pa.array(np.repeat(bits[:, k], BANDS)) for k in (0, 1)), pa.array(np.repeat(ids, BANDS))],
-                names=["band", "high", "low", "h1"],
+                [pa.array(key.ravel().view(np.int64)), *(pa.array(np.repeat(bits[:, k], BANDS)) for k in (0, 1)), pa.array(np.repeat(np.diff(offsets).astype(np.int32), BANDS)), pa.array(np.repeat(ids, BANDS))],
+                names=["band", "high", "low", "size", "h1"],
             )
 
 
-def _leaves(a, b, a_end, b_end, errors_at, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of the given pairs of nodes that keep the budget; ``errors_at`` counts differing bits of row pairs."""
+def _most_differing(words, threshold: float):
+    """Words that two sets of ``words`` words together, of similarity ``threshold`` or more, may have in one of them only."""
+    return (1 - threshold) / (1 + threshold) * words + 1e-6
+
+
+def _leaves(a, b, a_end, b_end, keeps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the given pairs of nodes that keep their budget, which ``keeps`` tells of row pairs."""
     wide = b_end - b
     sizes = (a_end - a) * wide
     ends = np.cumsum(sizes)
@@ -117,14 +133,19 @@ def _leaves(a, b, a_end, b_end, errors_at, budget: int) -> Iterator[tuple[np.nda
         left, right = a[node] + k // wide[node], b[node] + k % wide[node]
         keep = left < right
         left, right = left[keep], right[keep]
-        keep = errors_at(left, right) <= budget
+        keep = keeps(left, right)
         yield left[keep], right[keep]
         first = last
 
 
-def trie_self_join(groups: np.ndarray, high: np.ndarray, low: np.ndarray, budget: int = BUDGET, leaf: int = LEAF) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_self_join(
+    groups: np.ndarray, high: np.ndarray, low: np.ndarray, budget: int, leaf: int = LEAF, sizes: np.ndarray | None = None, threshold: float = 0.0
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group whose 128-bit fingerprints differ in at most ``budget`` bits.
 
+    With ``sizes``, the numbers of words, a pair must also be one that can have a similarity of
+    ``threshold``: the budget of each pair comes from its own sizes.
+
     The rows must be sorted by (group, high, low), so that a node of the binary trie is a
     range of rows and its children are the parts without and with the next bit.  The pairs of
     nodes of one level are walked together: a node with itself gives three pairs of children,
@@ -137,13 +158,18 @@ def trie_self_join(groups: np.ndarray, high: np.ndarray, low: np.ndarray, budget
     b, b_end = a.copy(), a_end.copy()
     errors = np.zeros(len(a), np.int16)
 
-    def errors_at(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(high[x] ^ high[y]).astype(np.int16) + np.bitwise_count(low[x] ^ low[y])
+    def keeps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        differing = np.bitwise_count(high[x] ^ high[y]).astype(np.int16) + np.bitwise_count(low[x] ^ low[y])
+        keep = differing <= budget
+        if sizes is not None:
+            p, q = sizes[x], sizes[y]
+            keep &= (differing <= _most_differing(p + q, threshold)) & (np.minimum(p, q) + 1e-6 >= threshold * np.maximum(p, q))
+        return keep
 
     for depth in range(BITS):
         small = (a_end - a) * (b_end - b) <= leaf
         if small.any():
-            yield from _leaves(a[small], b[small], a_end[small], b_end[small], errors_at, budget)
+            yield from _leaves(a[small], b[small], a_end[small], b_end[small], keeps)
             a, a_end, b, b_end, errors = (x[~small] for x in (a, a_end, b, b_end, errors))
         if not len(a):
             return
@@ -162,7 +188,7 @@ def trie_self_join(groups: np.ndarray, high: np.ndarray, low: np.ndarray, budget
                 keep &= where
             parts.append(tuple(v[keep] for v in (x, x_end, y, y_end, e)))
         a, a_end, b, b_end, errors = (np.concatenate(v) for v in zip(*parts, strict=True))
-    yield from _leaves(a, b, a_end, b_end, errors_at, budget)
+    yield from _leaves(a, b, a_end, b_end, keeps)
 
 
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
@@ -180,19 +206,20 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray
         yield rest
 
 
-def _joined(hot: int):
+def _joined(hot: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, high, low, ids in _whole_groups(batches):
+        for band, high, low, words, ids in _whole_groups(batches):
             size = np.diff(np.flatnonzero(np.r_[True, band[1:] != band[:-1], True]))
             size = np.repeat(size, size)
             large = (size > hot) & np.r_[True, band[1:] != band[:-1]]
             if large.any():  # named here, joined in blocks by _hot_pairs
                 yield pa.RecordBatch.from_arrays([pa.array(band[large]), pa.array(size[large]), pa.array(np.ones(large.sum(), bool))], names=["a", "b", "hot"])
             keep = (size > 1) & (size <= hot)
-            band, high, low, ids = band[keep], high[keep].view(np.uint64), low[keep].view(np.uint64), ids[keep]
+            band, high, low, words, ids = band[keep], high[keep].view(np.uint64), low[keep].view(np.uint64), words[keep], ids[keep]
             order = np.lexsort((low, high, band))
-            band, high, low, ids = band[order], high[order], low[order], ids[order]
-            for x, y in trie_self_join(band, high, low):
+            band, high, low, words, ids = band[order], high[order], low[order], words[order].astype(np.int64), ids[order]
+            budget = min(BITS, int(_most_differing(2 * words.max(initial=0), threshold)))
+            for x, y in trie_self_join(band, high, low, budget, sizes=words, threshold=threshold):
                 p, q = ids[x], ids[y]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(np.zeros(len(p), bool))], names=["a", "b", "hot"]
@@ -201,7 +228,7 @@ def _joined(hot: int):
     return run
 
 
-def _hot_pairs(bands: DataFrame, keys: DataFrame, partitions: int) -> DataFrame:
+def _hot_pairs(bands: DataFrame, keys: DataFrame, partitions: int, threshold: float) -> DataFrame:
     """Candidates of the top nodes of more than HOT rows.
 
     A node of n rows is cut into g = n / (HOT / 2) blocks by the hash of the id; each row goes
@@ -213,8 +240,8 @@ def _hot_pairs(bands: DataFrame, keys: DataFrame, partitions: int) -> DataFrame:
     own = F.pmod(F.xxhash64("h1"), F.col("g")).cast("int")
     cells = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     cell = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
-    spread = cells.select(cell.alias("band"), "high", "low", "h1")
-    return spread.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(1 << 60), "a long, b long, hot boolean")
+    spread = cells.select(cell.alias("band"), "high", "low", "size", "h1")
+    return spread.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(1 << 60, threshold), "a long, b long, hot boolean")
 
 
 def word_sets(records: DataFrame) -> DataFrame:
@@ -235,14 +262,14 @@ def near_duplicates(records: DataFrame, threshold: float = 0.7) -> tuple[DataFra
     members = sets.select("id", "h1", "h2").distinct()
     classes = sets.groupBy("h1", "h2").agg(F.first("words").alias("words"))
     classes = materialize(classes, "word-classes")
-    bands = classes.select("h1", "words").mapInArrow(_banded, "band long, high long, low long, h1 long")
+    bands = classes.select("h1", "words").mapInArrow(_banded, "band long, high long, low long, size int, h1 long")
     found = materialize(
-        bands.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(HOT), "a long, b long, hot boolean"), "trie-pairs"
+        bands.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(HOT, threshold), "a long, b long, hot boolean"), "trie-pairs"
     )
     pairs = found.where("not hot").select("a", "b")
     hot = found.where("hot")
     if not hot.isEmpty():
-        pairs = pairs.unionByName(_hot_pairs(bands, hot, partitions).select("a", "b"))
+        pairs = pairs.unionByName(_hot_pairs(bands, hot, partitions, threshold).select("a", "b"))
     pairs = pairs.distinct()
     left = classes.select(F.col("h1").alias("a"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("words").alias("wa"))
     right = classes.select(F.col("h1").alias("b"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("words").alias("wb"))

@@ -67,3 +67,30 @@ def test_trie_join_finds_all_pairs_within_the_budget():
 def test_copies_are_one_class(spark, rows):
     members, links = neardup.near_duplicates(rows([(str(k), "the same words here") for k in range(50)], "id string, text string"))
     assert members.select("h1", "h2").distinct().count() == 1 and links.count() == 0
+
+
+def test_pairs_just_at_the_threshold_are_found(spark, rows, listed):
+    """70 of 100 words in common: none may be lost, however many there are."""
+    rng = random.Random(7)
+    words = [f"w{k}" for k in range(100_000)]
+    texts, meant = [], []
+    for k in range(2500):
+        picked = rng.sample(words, 100)
+        texts += [(f"a{k:04}", " ".join(picked[:85])), (f"b{k:04}", " ".join(picked[15:]))]
+        meant.append((f"a{k:04}", f"b{k:04}"))
+    assert listed(neardup.record_pairs(*neardup.near_duplicates(rows(texts, "id string, text string")))) == meant
+
+
+def test_fingerprints_drop_no_pair_of_the_threshold():
+    rng = np.random.default_rng(3)
+    for n in (3, 10, 30, 100, 400):
+        for _ in range(200):
+            pool = rng.integers(-(1 << 31), 1 << 31, n, dtype=np.int64).astype(np.int32)
+            only = n - -(-7 * n // 10)  # words that one of the two has
+            cut = int(rng.integers(0, only + 1))
+            x, y = pool[cut:], pool[: n - (only - cut)]
+            bits = neardup._parities(np.concatenate([x, y]), np.array([0, len(x)]))
+            order = np.lexsort((bits[:, 1], bits[:, 0]))
+            sizes = np.array([len(x), len(y)])[order]
+            found = list(neardup.trie_self_join(np.zeros(2), bits[order, 0], bits[order, 1], 128, sizes=sizes, threshold=0.7))
+            assert sum(len(a) for a, _ in found) == 1
