@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, scans, splits
-from quernstone.runtime import one_row_each, table
+from quernstone.runtime import materialize, one_row_each, table
 
 
 def _questions(spark: SparkSession, root: str) -> DataFrame:
@@ -42,23 +42,32 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     return canonical.map_records(records, entries).select(F.col("key").alias("question_id"), F.col("list").alias("field_name"), F.col("id").alias("canonical_id"))
 
 
-def _scan_study(spark: SparkSession, root: str):
+def _scan_study(spark: SparkSession, root: str, flat: bool = False):
+    """The scanned texts with what is known of them, and the flat texts (row_key, flat, block) if they are looked at too."""
     bank = table(spark, root, "random_sources_preview")
     blocks = table(spark, root, "mineru_preview_10_questions").select(F.col("ordinal").alias("row_key"), F.col("raw_block").alias("text"))
     clean = bank.select(F.col("question_text").alias("text")).unionByName(table(spark, root, "standard_exam_questions").select(F.col("question_text").alias("text")))
     texts = scans.scanned(blocks, bank.select(F.col("question_id").alias("row_key"), F.col("raw_text").alias("raw")))
     labelled = bank.select(F.col("question_id").alias("key"), F.col("raw_text").alias("raw"), F.col("question_text").alias("clean"))
-    return texts, *scans.study(texts, clean, labelled)
+    if not flat:
+        return texts, *scans.study(texts, clean, labelled), None
+    pages = table(spark, root, "mineru_preview_10_questions").select(F.col("ordinal").alias("row_key"), F.col("question_text").alias("flat"))
+    flats = materialize(scans.flat_texts(pages, texts.where(F.col("source_table") == "mineru_preview_10_questions")), "flat-texts")
+    return texts, *scans.study(texts.unionByName(scans.strays(flats)), clean, labelled), flats
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
-    _, looked, meant, _ = _scan_study(spark, root)
+    _, looked, meant, _, _ = _scan_study(spark, root)
     return scans.defects(looked, meant)
 
 
 def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
-    texts, looked, meant, _ = _scan_study(spark, root)
-    return scans.repaired(texts, looked, meant)
+    """Each scanned text repaired; ``field`` tells the raw_block and the question_text of one key apart."""
+    texts, looked, meant, _, flats = _scan_study(spark, root, flat=True)
+    field = F.when(F.col("source_table") == "random_sources_preview", "raw_text").otherwise("raw_block")
+    lined = scans.repaired(texts, looked, meant).withColumn("field", field)
+    flat = scans.repaired_flat(flats, looked, meant, "mineru_preview_10_questions").withColumn("field", F.lit("question_text"))
+    return lined.unionByName(flat)
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:

@@ -43,6 +43,8 @@ FREQUENT = 50_000
 #: Times a word must occur among the clean texts to be proposed as a reading.
 LEAST_COUNT = 5
 Q, OVERLAP = 2, 0.5
+#: Name of the flat texts that are looked at for words of their own.
+FLAT = "flat"
 
 # Letters and signs that a scan confuses, brought to one spelling (m and rn, d and cl, w and vv look alike).
 CONFUSED = {
@@ -503,14 +505,20 @@ def defects(looked: DataFrame, meant: DataFrame) -> DataFrame:
     return lines.unionByName(misread.distinct())
 
 
+def _noise(looked: DataFrame, meant: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The kinds of lines and the readings of words of each text: (source_table, row_key, kinds) and (source_table, row_key, words)."""
+    words = looked.where("kind in ('text', 'broken')").select("source_table", "row_key", F.explode("odd").alias("word")).join(meant, "word")
+    words = words.groupBy("source_table", "row_key").agg(F.collect_set(F.struct("word", "meant")).alias("words"))
+    kinds = looked.where("kind not in ('text')").groupBy("source_table", "row_key").agg(F.collect_list(F.struct("line_no", "kind")).alias("kinds"))
+    return kinds, words
+
+
 def repaired(texts: DataFrame, looked: DataFrame, meant: DataFrame) -> DataFrame:
     """(source_table, row_key, text): continuous paragraphs, without furniture, broken words joined, misread words as read.
 
     Options, table rows and blank lines keep their places; a text without noise is only joined.
     """
-    words = looked.where("kind in ('text', 'broken')").select("source_table", "row_key", F.explode("odd").alias("word")).join(meant, "word")
-    words = words.groupBy("source_table", "row_key").agg(F.collect_set(F.struct("word", "meant")).alias("words"))
-    kinds = looked.where("kind not in ('text')").groupBy("source_table", "row_key").agg(F.collect_list(F.struct("line_no", "kind")).alias("kinds"))
+    kinds, words = _noise(looked, meant)
     keys = ["source_table", "row_key"]
     rows = texts.join(kinds, keys, "left").join(words, keys, "left").select(*keys, "text", "kinds", "words")
 
@@ -524,6 +532,81 @@ def repaired(texts: DataFrame, looked: DataFrame, meant: DataFrame) -> DataFrame
     return rows.mapInArrow(run, "source_table string, row_key string, text string")
 
 
+def flat_texts(pages: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(row_key, flat, block) of ``pages`` (row_key, flat), texts without line ends, and the block of the same key in ``blocks`` (source_table, row_key, text), or null."""
+    flats = one_row_each(pages.select(F.col("row_key").cast("string"), "flat").where("row_key is not null and flat is not null"), ["row_key"])
+    return flats.join(blocks.select("row_key", F.col("text").alias("block")), "row_key", "left")
+
+
+def strays(flats: DataFrame) -> DataFrame:
+    """(source_table, row_key, text) of the flat texts that aren't their block up to white space: their words must be looked at too."""
+    flat, block = (F.trim(F.regexp_replace(c, r"\s+", " ")) for c in ("flat", "block"))
+    return flats.where(~flat.eqNullSafe(block)).select(F.lit(FLAT).alias("source_table"), "row_key", F.col("flat").alias("text"))
+
+
+def repaired_flat(flats: DataFrame, looked: DataFrame, meant: DataFrame, source_table: str) -> DataFrame:
+    """(source_table, row_key, text): the flat texts repaired by the lines of their blocks, which are those of ``source_table``.
+
+    Where the two differ, lines are put back as far as the words are the same; a flat text
+    without a block has the readings of its words only.
+    """
+    kinds, words = _noise(looked, meant)
+    rows = flats
+    for name, noise in (("kinds", kinds), ("words", words)):
+        for table, prefix in ((source_table, "block"), (FLAT, "flat")):
+            rows = rows.join(noise.where(F.col("source_table") == table).select("row_key", F.col(name).alias(f"{prefix}_{name}")), "row_key", "left")
+    columns = ("row_key", "flat", "block", "block_kinds", "flat_kinds", "block_words", "flat_words")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for flat, block, of_block, of_flat, *words in zip(*(batch.column(n).to_pylist() for n in columns[1:]), strict=True):
+                readings = {w["word"]: w["meant"] for some in words for w in some or ()}
+                kinds = {k["line_no"]: k["kind"] for k in (of_flat if block is None else of_block) or ()}
+                out.append(_joined(*((flat, kinds) if block is None else _relined(flat, block, kinds)), readings))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["row_key", "text"])
+
+    texts = rows.select(*columns).mapInArrow(run, "row_key string, text string")
+    return texts.select(F.lit(source_table).alias("source_table"), "row_key", "text")
+
+
+def _relined(flat: str, block: str, kinds: dict[int, str]) -> tuple[str, dict[int, str]]:
+    """``flat`` with the line ends of ``block``, and the kinds of its lines.
+
+    Noise is only what the block has as a whole line too; words that the block hasn't go on with
+    a line of text, and stand alone beside noise.
+    """
+    seen = flat.split()
+    lines = block.split("\n")
+    words = [(n, word) for n, line in enumerate(lines, 1) for word in line.split()]
+    if seen == [word for _, word in words]:
+        return block, kinds
+    left = Counter(n for n, _ in words)
+    of: list[int | None] = [None] * len(seen)
+    for i, j, n in SequenceMatcher(None, [word for _, word in words], seen, autojunk=False).get_matching_blocks():
+        for k in range(n):
+            of[j + k] = words[i + k][0]
+            left[words[i + k][0]] -= 1
+    noise = {n for n, kind in kinds.items() if kind in ("header", "page_number")}
+    out: list[list[str]] = []
+    new: dict[int, str] = {}
+    last: int | None = None
+    for word, n in zip(seen, of, strict=True):
+        added = n is None and bool(out) and last is not None and last not in noise
+        n = last if added else n
+        if not out or n != last:
+            if n and last and any(not line.strip() for line in lines[last : n - 1]):
+                out.append([])
+            out.append([])
+            if n in kinds and not left[n]:
+                new[len(out)] = kinds[n]
+        elif added:  # a broken word isn't the last one any more
+            new.pop(len(out), None)
+        out[-1].append(word)
+        last = n
+    return "\n".join(" ".join(line) for line in out), new
+
+
 def _like(meant: str, seen: str) -> str:
     """``meant`` in the capitals of ``seen``."""
     if len(seen) > 1 and seen.isupper():

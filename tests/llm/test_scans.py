@@ -71,3 +71,31 @@ def test_empty_tables_and_clean_texts(spark, rows):
     some = rows([("t", "1", "one line"), ("t", "2", ""), ("t", "3", "a\n\nb")], "source_table string, row_key string, text string")
     looked, meant, _ = scans.study(some, rows([], "text string"), rows([], "key string, raw string, clean string"))
     assert scans.defects(looked, meant).count() == 0
+
+
+def test_flat_texts_are_repaired_by_the_lines_of_their_blocks(spark, rows):
+    keys = "source_table string, row_key string, "
+    block = "so far thE0ry is\nPAGE 7\nwell under-\nstood here.\n\nNext one."
+    flats = rows(
+        [("1", " ".join(block.split()), block), ("2", "so far thE0ry is PAGE 7 very well under- stood here. Next one.", block),
+         ("3", "thE0ry", None), ("4", "so far PAGE 8 is well", block)],
+        "row_key string, flat string, block string",
+    )
+    assert {r.row_key for r in scans.strays(flats).collect()} == {"2", "3", "4"}
+    seen = [(1, "text", ["the0ry"]), (2, "page_number", []), (3, "broken", [])]
+    looked = [("m", key, *x) for key in "124" for x in seen] + [(scans.FLAT, "3", 1, "text", ["the0ry"])]
+    looked = rows(looked, keys + "line_no int, kind string, odd array<string>")
+    meant = rows([("the0ry", "theory")], "word string, meant string")
+    got = {r.row_key: r.text for r in scans.repaired_flat(flats, looked, meant, "m").collect()}
+    assert got["1"] == "so far theory is well understood here.\nNext one."
+    assert got["2"] == "so far theory is very well understood here.\nNext one."
+    assert got["3"] == "theory" and "PAGE 8" in got["4"]
+
+
+def test_every_scanned_column_is_repaired(spark, root):
+    from quernstone.llm import queries
+    from quernstone.runtime import table
+
+    got = queries.p4_repaired(spark, root).where("field = 'question_text'")
+    pages = table(spark, root, "mineru_preview_10_questions").where("question_text is not null")
+    assert sorted(r.row_key for r in got.collect()) == sorted(str(r.ordinal) for r in pages.select("ordinal").distinct().collect())
