@@ -32,6 +32,7 @@ from quernstone.llm.forms import one_form
 
 # Spellings of no content.
 PSEUDO_NULL = ("null", "none", "n/a", "na", "nan", "nil", "undefined", "khong co", "chua co", "trong")
+_NULL_WORDS = max(len(words.replace("/", " ").split()) for words in PSEUDO_NULL)
 # Headings of a response, in folded letters.
 HEADING = re.compile(
     r"\s*(?:loi giai(?: chi tiet)?|giai thich|huong dan(?: giai)?|giai|bai giai|dap an|tra loi|ta co|solution|explanation|answer|response|we have|given|de bai|cau hoi|question)\s*[:.\-–]\s*"
@@ -209,8 +210,12 @@ def _without_headings(folded: str) -> str:
 def is_empty(folded: str) -> bool:
     """Whether the folded response has no content."""
     body = _without_headings(folded + " :")[:-2].strip()
-    bare = " ".join(_WORD.findall(body[:200]))  # a longer one is no spelling of nothing
-    return not bare or body.strip(" .") in PSEUDO_NULL or bare in PSEUDO_NULL
+    words: list[str] = []
+    for found in _WORD.finditer(body):
+        words.append(found.group())
+        if len(words) > _NULL_WORDS:  # more words than any spelling of nothing has
+            return False
+    return not words or body.strip(" .") in PSEUDO_NULL or " ".join(words) in PSEUDO_NULL
 
 
 def has_letter(answer: str | None) -> bool:

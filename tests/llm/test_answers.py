@@ -65,3 +65,9 @@ def test_operator(rows, listed):
     frame = rows([("1", "short_answer", VI, None, ""), ("1", "short_answer", VI, None, ""), ("2", None, None, None, None), ("3", "true_false", VI, None, SOLVED), ("4", "short_answer", VI, None, "từ " * 50_000)], "id string, kind string, question string, answer string, response string")
     assert listed(answers.defects(frame)) == [("1", "empty"), ("2", "empty"), ("4", "truncated")]
     assert answers.defects(frame.limit(0)).count() == 0
+
+
+def test_words_after_many_marks_are_content():
+    assert not answers.is_empty("." * 300 + " the solution is 5")
+    assert not answers.is_empty("null " + "-" * 300 + " the solution is 5")
+    assert answers.is_empty("." * 300) and answers.is_empty("null " + "-" * 300)
