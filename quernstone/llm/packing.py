@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.encoding import encode, vocabulary, vocabulary_path
+from quernstone.llm.encoding import n_tokens, vocabulary, vocabulary_path
 from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, one_row_each
 
@@ -56,7 +56,7 @@ def _prepared(path: str):
         for batch in batches:
             sizes, slots, counts = [], [], []
             for text in batch.column(1).to_pylist():
-                sizes.append(len(encode(text, words)))
+                sizes.append(n_tokens(text, words))
                 found: dict[int, int] = {}
                 for word, n in Counter(_WORD.findall(one_form(text or "").lower())).items():
                     slot = _slot(word)
