@@ -10,8 +10,8 @@ Method, one test for each defect:
   language   stop-word votes: the language with most votes for the response is another than
              that of the prompt
 
-A pair can have several defects.  Three are read as one statement about a response, in this
-order: what is empty, refuses or copies is not asked in addition whether it breaks off.
+Each test is made on its own, so a pair has every defect that is found.  Only an empty response
+ends the matter: it holds nothing that the other tests could read.
 
 Defined results: null, blank and pseudo-null responses are ``empty``; a null prompt cannot be
 copied and sets no language; a multiple-choice pair whose answer field holds no letter A-D is
@@ -42,13 +42,13 @@ REFUSALS = """
 nam ngoai kha nang
 vuot qua kha nang
 khong dua ra loi giai
-khong the dua ra loi giai|dap an|cau
+khong|chua the dua ra loi giai|dap an|cau
 khong duoc phep lam|giai|tra|cung|ho
 tu choi tao|cung|tra|giai|dua|thuc|ho
 xin phep khong giai|tra|dua|lam|tiep|thuc
 xin phep tu choi
-khong the giai|giup|ho|cung|thuc|dap|lam * yeu|cau|noi|bai|tro|ban|de
-khong the tra loi
+khong|chua the giai|giup|ho|cung|thuc|dap|lam * yeu|cau|noi|bai|tro|ban|de
+khong|chua the tra loi
 xin loi * khong the|giai|tra
 rat tiec * khong the|giai|tra|dua
 la mot mo hinh ngon ngu
@@ -69,6 +69,15 @@ can t help|assist|answer|solve|provide|fulfill|comply|complete
 could not provide|answer|solve
 i m sorry
 i am sorry
+i can|won|couldn t
+i cannot|refuse|decline
+i am|m unable
+i am|m not able|allowed|permitted
+i will not
+i must decline|refuse
+toi khong|chua the
+toi|minh|em xin phep
+toi|minh|em tu choi
 refuses to answer|solve|create|provide|generate
 refused to answer|solve|create|provide|generate
 """
@@ -101,6 +110,7 @@ _FORMULA = re.compile(r"\$[^$]*\$")
 _WORD = re.compile(r"[^\W_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _BRACKETS = re.compile(r"[()\[\]{}]")
+_OPENS = {")": "(", "]": "[", "}": "{"}
 _SENTENCE = re.compile(r"[.!?…](?=\s|$)")
 _CONCLUSION = re.compile(r"(?:nen |vay |do do |suy ra |so |therefore |thus |hence )*(?:ta )?(?:chon|dap so|dap an|suy ra|vay|ket luan|ket qua|do do|the final|final|therefore|hence|thus|so the|we choose|the answer|answer)\b")
 _OPEN_END = re.compile(r"(?:[,:;(\[{=+\-–*/<>\\]|\b(?:bang|la|va|(?<!\d )do|suy ra|tuc la|vi|nen|voi|ta co|thi|ma|cua|tai|cho|and|which|gives|therefore|because|so|the|of|is|to|that|we|hence|where|but))$")
@@ -225,15 +235,32 @@ def has_letter(answer: str | None) -> bool:
     return text.strip(" .") not in PSEUDO_NULL and any(word in ("a", "b", "c", "d") for word in _WORD.findall(text))
 
 
+def left_open(text: str) -> bool:
+    """Whether the stack of delimiters isn't empty at the end.
+
+    A closing sign takes away the opening sign of its own kind only; of round and square ones
+    each may close the other around two bounds, as in [1; 2).  A closing sign without an open
+    one, as in a), counts for nothing.
+    """
+    stack: list[tuple[str, int]] = []
+    for found in _BRACKETS.finditer(text):
+        sign = found.group()
+        if sign in "([{":
+            stack.append((sign, found.end()))
+        elif stack:
+            opened, begin = stack[-1]
+            inner = text[begin : found.start()]
+            if opened == _OPENS[sign] or "}" != sign and opened != "{" and (";" in inner or "," in inner):
+                stack.pop()
+    return bool(stack)
+
+
 def is_truncated(text: str) -> bool:
     """Whether a response, in the one form, breaks off."""
     if text.count("$") % 2:
         return True
     plain = _FORMULA.sub("$", text)
-    depth = 0
-    for sign in _BRACKETS.findall(plain):
-        depth += (sign in "([{") - (sign in ")]}" and depth > 0)
-    if depth:
+    if left_open(plain):
         return True
     plain = re.sub(r"\s*\([^()]*\)\s*$", "", plain).rstrip("\"'”’» ")
     if not plain or not _LETTER.search(plain):
@@ -302,14 +329,11 @@ def defects_of(kind: str | None, question: str | None, answer: str | None, respo
     found = []
     if kind == "multiple_choice" and not has_letter(answer):
         found.append("empty")
-    words = _WORD.findall(folded)
-    refusal = refuses(words)
-    copied = not refusal and copies(_WORD.findall(fold(asked)), _WORD.findall(_without_headings(folded)))
-    if refusal:
+    if refuses(_WORD.findall(folded)):
         found.append("refusal")
-    elif copied:
+    if copies(_WORD.findall(fold(asked)), _WORD.findall(_without_headings(folded))):
         found.append("copy")
-    elif is_truncated(form):
+    if is_truncated(form):
         found.append("truncated")
     if is_other_language(asked, form):
         found.append("language")

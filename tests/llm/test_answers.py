@@ -71,3 +71,22 @@ def test_words_after_many_marks_are_content():
     assert not answers.is_empty("." * 300 + " the solution is 5")
     assert not answers.is_empty("null " + "-" * 300 + " the solution is 5")
     assert answers.is_empty("." * 300) and answers.is_empty("null " + "-" * 300)
+
+
+@pytest.mark.parametrize("text,is_open", [
+    ("(a + b]", True), ("(a + b)", False), ("[1; 2) và (3, 4]", False), ("{[x]}", False), ("a) một b) hai", False), ("(xem a) và b)", False), ("[(x)", True), ("{(x})", True), ("", False),
+])
+def test_stack_of_delimiters(text, is_open):
+    assert answers.left_open(text) == is_open
+
+
+def test_each_defect_is_told():
+    cut = "Xin lỗi, tôi không thể giải bài này vì"
+    assert answers.defects_of("multiple_choice", VI, None, cut) == ["empty", "refusal", "truncated"]
+    assert answers.defects_of("short_answer", VI, None, VI.rsplit(" ", 2)[0]) == ["copy", "truncated"]
+    assert answers.defects_of("short_answer", VI, None, "I am unable to solve this problem because it is not") == ["refusal", "truncated", "language"]
+
+
+@pytest.mark.parametrize("response", ["Xin lỗi, mình chưa thể giải câu này.", "Em chưa thể hỗ trợ bài này.", "I can't do this one.", "I won't be solving it.", "Tôi từ chối trả lời."])
+def test_other_refusals(response):
+    assert "refusal" in answers.defects_of("short_answer", VI, None, response)
