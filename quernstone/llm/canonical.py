@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, combinations_with_replacement, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,6 +55,8 @@ _TELEX_VOWELS = (("uw", "u"), ("ow", "o"), ("aw", "a"), ("aa", "a"), ("ee", "e")
 _WORD = re.compile(r"[a-z0-9]+")
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")
 SIZES = (2, 3)
+#: Grams of a word of one letter.
+LEAST_GRAMS = sum(max(0, 3 - size + 1) for size in SIZES)
 
 
 def fold(text: str) -> str:
@@ -69,18 +73,28 @@ def _from_keys(word: str) -> str:
     return word.replace("w", "")
 
 
-def readings(value: str) -> list[list[str]]:
-    """The ways to read a value, each a list of words: as typed, and as keyboard spelling where that differs."""
+def readings(value: str, most: int | None = None) -> list[list[str]]:
+    """The ways to read a value, each a list of words: as typed, and as keyboard spelling where that differs.
+
+    Every abbreviation is read in each way it can be meant, each of its occurrences on its own; as
+    the order of words doesn't count, two occurrences that swap their meanings are one way.  With
+    ``most``, the grams that a match can have at most, a value whose words alone have more is read
+    once: it matches nothing in any reading.
+    """
     text = fold(value.replace("_", " "))
     bare = AROUND.sub(" ", text)
     words = _WORD.findall(bare) or _WORD.findall(text)
-    ways: list[list[str]] = [[]]
-    for word in words:  # a word of several meanings gives several readings, at most eight in all
-        ways = [way + meaning.split() for way in ways for meaning in SHORT.get(word, (word,))][:8]
+    typed = [word for word in words if word not in SHORT]
+    short = Counter(word for word in words if word in SHORT)
+    choices = [combinations_with_replacement(SHORT[word], n) for word, n in sorted(short.items())]
+    if most is not None and LEAST_GRAMS * len(words) > most:
+        return [words]
+    ways = [typed + " ".join(chain.from_iterable(way)).split() for way in product(*choices)] if short else [words]
     # no accent anywhere, and a doubled vowel, dd or w, as no Vietnamese word has it: perhaps keyboard spelling
     if value.isascii() and re.search(r"w|aa|ee|oo|dd|[aeiouy][sfrxj]\b", text):
         ways.append([w for word in words for w in [_from_keys(word)] if w])
-    return [way for k, way in enumerate(ways) if way and way not in ways[:k]]
+    known: set[tuple[str, ...]] = set()
+    return [way for way in ways if way and not (tuple(way) in known or known.add(tuple(way)))]
 
 
 def grams(words: list[str]) -> list[str]:
@@ -97,14 +111,14 @@ def grams(words: list[str]) -> list[str]:
     return out
 
 
-def _with_grams(df: DataFrame, key: str, column: str) -> DataFrame:
+def _with_grams(df: DataFrame, key: str, column: str, most: int | None = None) -> DataFrame:
     """(key, way, grams) of every reading of ``column``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ways, sets = [], [], []
             for k, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for way, words in enumerate(readings(value)):
+                for way, words in enumerate(readings(value, most)):
                     keys.append(k), ways.append(way), sets.append(grams(words))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, batch.column(0).type), pa.array(ways, pa.int32()), pa.array(sets, pa.list_(pa.string()))], names=[key, "way", "grams"]
@@ -120,8 +134,9 @@ def similarity_join(values: DataFrame, entries: DataFrame, threshold: float = TH
     ``list`` names the canonical list a value belongs to; only pairs of one list are joined.
     """
     keyed = values.select("list", "value", F.md5("value").alias("key"))  # rows of grams carry the key, whatever the length of the value
-    left = keyed.select(F.struct("list", "key").alias("v"), "value").transform(lambda d: _with_grams(d, "v", "value")).select(F.col("v.list").alias("list"), F.col("v.key").alias("item"), "way", "grams")
     right = entries.select(F.struct("list", "id").alias("e"), "title").transform(lambda d: _with_grams(d, "e", "title")).where("way = 0").select(F.col("e.list").alias("list"), F.col("e.id").cast("string").alias("item"), F.lit(-1).alias("way"), "grams")
+    most = right.agg(F.max(F.size("grams"))).first()[0] or 0
+    left = keyed.select(F.struct("list", "key").alias("v"), "value").transform(lambda d: _with_grams(d, "v", "value", int(most / threshold))).select(F.col("v.list").alias("list"), F.col("v.key").alias("item"), "way", "grams")
     sets = left.unionByName(right)
     rarity = sets.select("list", F.explode("grams").alias("gram")).groupBy("list", "gram").agg(F.count("*").alias("n"))
     # each set's grams by rarity, with their place: (place, gram) of the prefix is what gets joined
@@ -170,6 +185,6 @@ def map_records(records: DataFrame, entries: DataFrame, threshold: float = THRES
     share is joined once; its rows get the result by an equi-join on the value.
     """
     titles = entries.select("list", F.col("title").alias("value")).distinct()
-    typed = records.where(is_filled(F.col("value"))).join(F.broadcast(titles), ["list", "value"], "left_anti")
+    typed = records.where(is_filled(F.col("value"))).join(titles, ["list", "value"], "left_anti")  # Spark broadcasts a short list by its size
     mapped = best_entries(typed.select("list", "value").distinct(), entries, threshold)
     return typed.join(mapped, ["list", "value"]).select("key", "list", "id").distinct()

@@ -29,3 +29,13 @@ def test_records(rows, listed):
 def test_a_very_long_value(rows):
     records = rows([("1", "t", "từ " * 20_000)], "key string, list string, value string")
     assert canonical.map_records(records, rows(ENTRIES, "list string, id int, title string")).first().id == 0
+
+
+def test_every_reading_is_joined(rows):
+    """Three abbreviations of several meanings each, one of them twice: all ways are read."""
+    assert len(canonical.readings("bt hs dt tt")) == 12 and len(canonical.readings("dt dt hs")) == 12
+    last = "do thi he so bieu thuc the tich"
+    values = rows([("t", "bt hs dt tt")], "list string, value string")
+    got = canonical.similarity_join(values, rows([("t", 7, last)], "list string, id int, title string"), 0.95)
+    assert [r.id for r in got.collect()] == [7]
+    assert canonical.readings("dt " * 5000, 300) == [["dt"] * 5000]
