@@ -22,12 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quernstone.llm.cells import in_cells
+
 # Code point ranges of Unicode's Default_Ignorable_Code_Point, and the invisible controls.
 IGNORABLE = (
     (0x0000, 0x0008), (0x000E, 0x001B), (0x007F, 0x0084), (0x0086, 0x009F),
     (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5),
     (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0x3164, 0x3164),
-    (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0xE0000, 0xE0FFF),
+    (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A),
+    (0xE0000, 0xE0FFF),
 )
 
 # Letters of other scripts drawn like a Latin one, each beside its Latin look-alike.
@@ -128,30 +131,46 @@ def fingerprints(df: DataFrame, key: str, column: str) -> DataFrame:
     return narrow.mapInArrow(run, "key string, form_print binary, text_print binary")
 
 
+def mixed_forms(records: DataFrame) -> DataFrame:
+    """(source_table, form_print, n): the forms with two or more different texts and how many records have them.
+
+    The aggregation is combined before its shuffle, so a form that a third of all rows share is no burden.
+    """
+    per = records.groupBy("source_table", "form_print").agg(F.min("text_print").alias("least"), F.max("text_print").alias("most"), F.count("*").alias("n"))
+    return per.where("least <> most").select("source_table", "form_print", "n")
+
+
 def same_looking_pairs(records: DataFrame) -> DataFrame:
     """Pairs (source_table, key_a, key_b) of records whose forms agree and whose texts differ.
 
     ``records`` has (source_table, key, form_print, text_print).  Only forms with two or more
-    different texts reach the join, so a form that a third of all rows share, all written
-    alike, is dropped by the aggregation, which is combined before its shuffle.
+    different texts reach the join; those with many records are spread over cells.
     """
     records = records.distinct()
-    mixed = (
-        records.groupBy("source_table", "form_print")
-        .agg(F.min("text_print").alias("least"), F.max("text_print").alias("most"))
-        .where("least <> most")
-        .select("source_table", "form_print")
-    )
-    members = records.join(mixed, ["source_table", "form_print"], "left_semi")
-    a, b = members.alias("a"), members.alias("b")
+    members = records.join(mixed_forms(records), ["source_table", "form_print"])
+    left, right = in_cells(members, "key", "n")
+    a, b = left.alias("a"), right.alias("b")
     return (
         a.join(
             b,
             (F.col("a.source_table") == F.col("b.source_table"))
             & (F.col("a.form_print") == F.col("b.form_print"))
+            & (F.col("a.cell") == F.col("b.cell"))
             & (F.col("a.text_print") != F.col("b.text_print"))
             & (F.col("a.key") < F.col("b.key")),
         )
         .select("a.source_table", F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b"))
         .distinct()
     )
+
+
+def same_looking_groups(records: DataFrame) -> DataFrame:
+    """(source_table, key, form_class, n_texts): every record with the class of its form and in how many different texts that form is stored.
+
+    Linear in the rows whatever the size of a group, where the pairs are not.  A record with several texts has a row for each class.
+    """
+    named = records.select("source_table", "key", "form_print", "text_print").distinct()
+    texts = named.groupBy("source_table", "form_print", "text_print").agg(F.lit(1).alias("one"))
+    counts = texts.groupBy("source_table", "form_print").agg(F.count("*").alias("n_texts"))
+    several = named.join(counts.where("n_texts > 1"), ["source_table", "form_print"], "left")
+    return several.select("source_table", "key", F.lower(F.hex("form_print")).alias("form_class"), F.coalesce("n_texts", F.lit(1)).alias("n_texts")).distinct()

@@ -31,6 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.cells import HOT as HOT_CLASS
+from quernstone.llm.cells import cell_of, n_cells
 from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, shuffle_partitions
 
@@ -191,28 +193,59 @@ def trie_self_join(
     yield from _leaves(a, b, a_end, b_end, keeps)
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns as arrays, cut so that no group (equal first column, rows in its order) is divided."""
-    rest: list[np.ndarray] | None = None
+def _whole_groups(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[tuple[list[np.ndarray], int | None]]:
+    """The columns as arrays, cut so that no group (equal first column, rows in its order) is divided.
+
+    Of a group of more than ``hot`` rows no more are kept than that: it comes as (its key, its number of rows).
+    """
+    parts: list[list[np.ndarray]] = []  # of the group that is still open
+    held = skipped = 0
+    key = None
+
+    def closed():
+        if skipped:
+            yield [np.array([key])], held + skipped
+        elif parts:
+            yield [np.concatenate(x) for x in zip(*parts, strict=True)], None
+
     for batch in batches:
         now = [np.asarray(c) for c in batch.columns]
-        if rest is not None:
-            now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
-        cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-        if cut:
-            yield [x[:cut] for x in now]
-        rest = [x[cut:] for x in now]
-    if rest is not None and len(rest[0]):
-        yield rest
+        if not len(now[0]):
+            continue
+        begin = 0
+        if key is not None:
+            begin = int(np.searchsorted(now[0], key, "right"))
+            if skipped or held + begin > hot:
+                skipped += begin
+                parts = []
+            elif begin:
+                parts.append([x[:begin] for x in now])
+                held += begin
+            if begin == len(now[0]):
+                continue
+            yield from closed()
+        last = int(np.searchsorted(now[0], now[0][-1]))
+        if last > begin:
+            yield [x[begin:last] for x in now], None
+        key, skipped = now[0][-1], 0
+        parts, held = [[x[last:] for x in now]], len(now[0]) - last
+        if held > hot:
+            parts, held, skipped = [], 0, held
+    if key is not None:
+        yield from closed()
 
 
 def _joined(hot: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, high, low, words, ids in _whole_groups(batches):
+        for columns, n in _whole_groups(batches, hot):
+            if n is not None:  # named here, joined in blocks by _hot_pairs
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array([n], pa.int64()), pa.array([True])], names=["a", "b", "hot"])
+                continue
+            band, high, low, words, ids = columns
             size = np.diff(np.flatnonzero(np.r_[True, band[1:] != band[:-1], True]))
             size = np.repeat(size, size)
             large = (size > hot) & np.r_[True, band[1:] != band[:-1]]
-            if large.any():  # named here, joined in blocks by _hot_pairs
+            if large.any():
                 yield pa.RecordBatch.from_arrays([pa.array(band[large]), pa.array(size[large]), pa.array(np.ones(large.sum(), bool))], names=["a", "b", "hot"])
             keep = (size > 1) & (size <= hot)
             band, high, low, words, ids = band[keep], high[keep].view(np.uint64), low[keep].view(np.uint64), words[keep], ids[keep]
@@ -286,12 +319,19 @@ def near_duplicates(records: DataFrame, threshold: float = 0.7) -> tuple[DataFra
 
 
 def record_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs (id_a, id_b) of different records, the smaller id first: across linked classes and within each class."""
-    a = members.select(F.col("id").alias("x"), F.col("h1").alias("a1"), F.col("h2").alias("a2"))
-    b = members.select(F.col("id").alias("y"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
-    within = members.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select(
-        F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("h1").alias("b1"), F.col("h2").alias("b2")
+    """Pairs (id_a, id_b) of different records, the smaller id first: across linked classes and within each class.
+
+    Classes of many records are dealt to cells, and each tie is repeated for the pairs of cells of its two classes.
+    """
+    sizes = members.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > HOT_CLASS).select("h1", "h2", n_cells("n").alias("cells"))
+    ties = links.select("a1", "a2", "b1", "b2").unionByName(
+        sizes.where("n > 1").select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     )
-    ties = links.select("a1", "a2", "b1", "b2").unionByName(within)
-    both = ties.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).where("x <> y")
+    celled = members.join(large, ["h1", "h2"], "left").select("id", "h1", "h2", F.coalesce(cell_of("id", F.col("cells")), F.lit(0)).alias("cell"))
+    for side in "ab":
+        many = large.select(F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), F.col("cells"))
+        ties = ties.join(many, [f"{side}1", f"{side}2"], "left").withColumn(f"cell_{side}", F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1))).drop("cells")
+    a, b = (celled.select(F.col("id").alias(x), F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("cell").alias(f"cell_{s}")) for s, x in zip("ab", "xy", strict=True))
+    both = ties.join(a, ["a1", "a2", "cell_a"]).join(b, ["b1", "b2", "cell_b"]).where("x <> y")
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()

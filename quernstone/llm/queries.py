@@ -70,13 +70,19 @@ def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
     return lined.unionByName(flat)
 
 
-def p5_found(spark: SparkSession, root: str) -> DataFrame:
+def _form_prints(spark: SparkSession, root: str) -> DataFrame:
     bank = forms.fingerprints(table(spark, root, "random_sources_preview"), "question_id", "question_text")
     lessons = forms.fingerprints(table(spark, root, "curriculum_scan"), "lesson_id", "file_name")
-    rows = bank.withColumn("source_table", F.lit("random_sources_preview")).unionByName(
-        lessons.withColumn("source_table", F.lit("curriculum_scan"))
-    )
-    return forms.same_looking_pairs(rows)
+    return bank.withColumn("source_table", F.lit("random_sources_preview")).unionByName(lessons.withColumn("source_table", F.lit("curriculum_scan")))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return forms.same_looking_pairs(_form_prints(spark, root))
+
+
+def p5_groups(spark: SparkSession, root: str) -> DataFrame:
+    """The class of equal forms of every record, and in how many different texts its form is stored."""
+    return forms.same_looking_groups(_form_prints(spark, root))
 
 
 def p2_found(spark: SparkSession, root: str) -> DataFrame:
@@ -119,7 +125,7 @@ def queries() -> dict:
         "p2_found": p2_found, "p2_splits": p2_splits,
         "p3_found": p3_found,
         "p4_found": p4_found, "p4_repaired": p4_repaired,
-        "p5_found": p5_found,
+        "p5_found": p5_found, "p5_groups": p5_groups,
         "p6_found": p6_found,
         "p7_ids": p7_ids,
         "p8_packing": p8_packing,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernstone.llm.cells import in_cells
 from quernstone.llm.forms import with_form
 from quernstone.llm.neardup import near_duplicates
 from quernstone.runtime import materialize
@@ -176,8 +177,8 @@ def file_pairs(records: DataFrame, table: DataFrame) -> DataFrame:
     """Pairs (file_a, file_b) of different stored file names whose nodes lie in one component."""
     files = records.where("file is not null").select("file", "node").distinct().join(table.select("node", "component"), "node").select("file", "component").distinct()
     shared = files.groupBy("component").agg(F.count("*").alias("n")).where("n > 1")
-    files = materialize(files.join(shared, "component", "left_semi"), "split-files")
-    a, b = files.alias("a"), files.alias("b")
-    return a.join(b, (F.col("a.component") == F.col("b.component")) & (F.col("a.file") < F.col("b.file"))).select(
+    left, right = in_cells(materialize(files.join(shared, "component"), "split-files"), "file", "n")
+    a, b = left.alias("a"), right.alias("b")
+    return a.join(b, (F.col("a.component") == F.col("b.component")) & (F.col("a.cell") == F.col("b.cell")) & (F.col("a.file") < F.col("b.file"))).select(
         F.col("a.file").alias("file_a"), F.col("b.file").alias("file_b")
     )

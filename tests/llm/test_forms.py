@@ -35,6 +35,26 @@ def test_pairs(spark, rows, listed):
     prints = forms.fingerprints(table, "id", "text").withColumn("source_table", F.lit("t"))
     assert listed(forms.same_looking_pairs(prints)) == [("t", "a", "b"), ("t", "b", "c")]
     assert forms.same_looking_pairs(prints.limit(0)).count() == 0
+    groups = forms.same_looking_groups(prints).collect()
+    assert sorted((r.key, r.n_texts) for r in groups) == [("a", 2), ("b", 2), ("c", 2), ("e", 1)]
+    assert len({r.form_class for r in groups}) == 2 and forms.same_looking_groups(prints.limit(0)).count() == 0
+
+
+def test_pairs_of_a_form_spread_over_cells(spark, rows, listed, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from quernstone.llm import cells
+
+    table = rows([(f"{k:02}", "x y" if k % 3 else "x  y") for k in range(40)], "id string, text string")
+    prints = forms.fingerprints(table, "id", "text").withColumn("source_table", F.lit("t"))
+    whole = listed(forms.same_looking_pairs(prints))
+    monkeypatch.setattr(cells, "HOT", 7)
+    assert listed(forms.same_looking_pairs(prints)) == whole and len(whole) == 14 * 26
+
+
+def test_default_ignorable_characters_leave_no_trace():
+    for code in [0xAD, 0x200B, 0x2060, 0xFE0F, 0x1BCA0, 0x1BCA3, 0x1D173, 0x1D17A, 0xE0020]:
+        assert forms.one_form("a" + chr(code) + "b") == "ab", hex(code)
 
 
 def test_extra_and_clashing_columns_pass_through(rows):

@@ -94,3 +94,32 @@ def test_fingerprints_drop_no_pair_of_the_threshold():
             sizes = np.array([len(x), len(y)])[order]
             found = list(neardup.trie_self_join(np.zeros(2), bits[order, 0], bits[order, 1], 128, sizes=sizes, threshold=0.7))
             assert sum(len(a) for a, _ in found) == 1
+
+
+def test_whole_groups_keep_no_more_of_a_large_one_than_allowed():
+    import numpy as np
+    import pyarrow as pa
+
+    keys = np.sort(np.random.default_rng(1).choice([1, 2, 3, 4, 5], 300, p=[0.02, 0.6, 0.03, 0.3, 0.05]))
+    for step in (1, 7, 50, 300):
+        batches = [pa.RecordBatch.from_arrays([pa.array(keys[k : k + step]), pa.array(np.arange(k, min(k + step, 300)))], names=["k", "v"]) for k in range(0, 300, step)]
+        small, large = [], {}
+        for (band, *rest), n in neardup._whole_groups(iter(batches), 40):
+            if n is None:
+                small += list(zip(band, rest[0], strict=True))
+            else:
+                large[int(band[0])] = n
+        counts = {int(k): int((keys == k).sum()) for k in np.unique(keys)}
+        assert {k: n for k, n in large.items() if k} == {k: counts[k] for k in large} and set(large) <= {k for k, n in counts.items() if n > 40}
+        assert sorted(small) == [(k, v) for v, k in enumerate(keys) if k not in large]
+
+
+def test_pairs_of_large_classes_spread_over_cells(rows, listed, monkeypatch):
+    from quernstone.llm import cells
+
+    texts = ["one two three four five six seven eight nine ten"] * 30 + ["one two three four five six seven eight nine eleven"] * 20 + ["other words here"] * 3
+    frame = rows([(f"{k:03}", t) for k, t in enumerate(texts)], "id string, text string")
+    whole = listed(neardup.record_pairs(*neardup.near_duplicates(frame)))
+    monkeypatch.setattr(cells, "HOT", 6)
+    monkeypatch.setattr(neardup, "HOT_CLASS", 6)
+    assert listed(neardup.record_pairs(*neardup.near_duplicates(frame))) == whole and len(whole) == 50 * 49 // 2 + 3
