@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm import answers, canonical, encoding, forms, neardup, packing, reading, scans, splits
-from quernstone.runtime import materialize, one_row_each, table
+from quernstone.runtime import materialize, one_row_each, shared_dir, table
 
 
 def _questions(spark: SparkSession, root: str) -> DataFrame:
@@ -99,6 +101,26 @@ def p2_splits(spark: SparkSession, root: str) -> DataFrame:
     return records.select("id", "node").distinct().join(placed.select("node", "split"), "node").select(F.col("id").alias("question_id"), "split")
 
 
+def p2_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Splits given in two runs over the persisted component table: the older half of the time the imports span, then the rest.
+
+    ``batch`` tells in which run the record came.  The second run's ties are those of its records with all
+    records; records of the first run keep their split, or are quarantined with it kept in ``old_split``.
+    """
+    bank, targets = table(spark, root, "random_sources_preview"), table(spark, root, "split_targets")
+    path = f"{shared_dir(spark)}/components-{uuid.uuid4().hex}"
+    came = bank.where("question_id is not null").groupBy("question_id").agg(F.min("imported_at").alias("came"))
+    span = came.agg(((F.min(F.unix_micros("came")) + F.max(F.unix_micros("came"))) / 2).alias("middle")).first().middle or 0.0
+    first = came.where(F.coalesce(F.unix_micros("came") <= span, F.lit(True))).select("question_id")
+    old, nodes, ties = splits.bank_graph(bank.join(first, "question_id", "left_semi"))
+    splits.add_batch(spark, path, nodes, ties, targets)
+    records, _, ties = splits.bank_graph(bank)
+    batches = records.join(old.select("id").distinct().withColumn("batch", F.lit(1)), "id", "left").select("id", "node", F.coalesce("batch", F.lit(2)).alias("batch")).distinct()
+    added = batches.where("batch = 2").groupBy("node").agg(F.count("*").alias("size"))
+    placed = splits.add_batch(spark, path, added, ties, targets)
+    return batches.join(placed, "node").select(F.col("id").alias("question_id"), "batch", "component", "split", "old_split")
+
+
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "standard_exam_questions").select(
         "id", F.col("question_type").alias("kind"), F.col("question_text").alias("question"), F.col("correct_answer").alias("answer"), F.col("explanation").alias("response")
@@ -122,7 +144,7 @@ def p9_found(spark: SparkSession, root: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found, "p1_groups": p1_groups,
-        "p2_found": p2_found, "p2_splits": p2_splits,
+        "p2_found": p2_found, "p2_splits": p2_splits, "p2_batches": p2_batches,
         "p3_found": p3_found,
         "p4_found": p4_found, "p4_repaired": p4_repaired,
         "p5_found": p5_found, "p5_groups": p5_groups,

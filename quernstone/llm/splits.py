@@ -1,21 +1,28 @@
 """Train, validation and test splits that keep related records together (problem 2).
 
-Method: an incremental, persisted table of components.  Every run hooks the new ties onto the
-components already known and shortens the pointers by jumping until each node points at its
-root.  A component that holds members of one earlier split keeps it; a component without
-earlier members fills the split that is furthest below its share; a component into which
-members of several splits have grown together is quarantined: nobody moves between splits,
-the component is reported and kept out of all of them until it is decided by hand.
+Method: an incremental, persisted table of components (node, size, component, split, old_split).
+A run reads the table of the last one, brings the ends of the new ties to the roots of the
+components they lie in, and hooks those roots onto each other, shortening the pointers by
+jumping until each points at its root.  Only components that a new tie reaches take part in
+that; the rows of all others pass through a single join that leaves them as they are.  The
+result is written as a new version beside the last.
+
+A component with members of one earlier split keeps it; a component without earlier members
+fills the split that is furthest below its share; a component into which members of several
+splits have grown together is quarantined: it is reported and kept out of all splits until it
+is decided by hand, and ``old_split`` keeps, for each of its nodes, the split that it had.
+Nobody moves from one split into another.
 
 Defined results: nodes without ties are components of their own; a tie from a node to itself
 or given twice changes nothing; null nodes are ignored; empty tables give empty results; ties
-between nodes that are not listed make those nodes known with size 0.  Shares need not add up
-to one: they are scaled.  A component larger than its split's share is kept whole.
+between nodes that are not listed make those nodes known with size 0.  A node that is given
+again grows by the size given.  Shares need not add up to one: they are scaled.  A component
+larger than its split's share is kept whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -69,30 +76,76 @@ def components(nodes: DataFrame, ties: DataFrame) -> DataFrame:
     return known.join(pointers, "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
+COLUMNS = ("node", "size", "component", "split", "old_split")
+
+
 def update_components(nodes: DataFrame, ties: DataFrame, targets: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """The component table (node, size, component, split) after the new ``nodes`` (node, size) and ``ties`` (a, b).
+    """The component table (node, size, component, split, old_split) after the new ``nodes`` (node, size) and ``ties`` (a, b).
 
-    ``existing`` is the table of the last run; its components and splits hold.  ``targets`` has
-    (split_name, target_share), a few rows.  The caller writes the result and passes it to the next run.
+    ``existing`` is the table of the last run, or None for the first; its components and
+    splits hold.  ``targets`` has (split_name, target_share), a few rows.
     """
-    sizes = nodes.groupBy("node").agg(F.sum("size").alias("size"))
-    if existing is not None:
-        ties = ties.select("a", "b").unionByName(existing.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        old = existing.select("node", F.col("size").alias("old_size"), F.col("split").alias("old_split"))
-    named = components(sizes.select("node") if existing is None else sizes.select("node").unionByName(existing.select("node")), ties)
-    table = named.join(sizes, "node", "left")
+    sizes = nodes.where("node is not null").groupBy("node").agg(F.sum("size").alias("size"))
     if existing is None:
-        table = table.select("node", F.coalesce("size", F.lit(0)).alias("size"), "component", F.lit(None).cast("string").alias("old_split"))
+        named = components(sizes.select("node"), ties)
+        table = named.join(sizes, "node", "left").select("node", F.coalesce("size", F.lit(0)).alias("size"), "component", *(F.lit(None).cast("string").alias(c) for c in ("split", "old_split")))
     else:
-        table = table.join(old, "node", "left").select("node", F.coalesce("size", "old_size", F.lit(0)).alias("size"), "component", "old_split")
+        table = _grown(sizes, ties, existing.select(*COLUMNS))
     table = materialize(table, "component-table")
-    # one row for each component; the count of earlier splits decides whether it keeps, fills or is quarantined
-    per = table.groupBy("component").agg(
-        F.sum("size").alias("size"), F.min("old_split").alias("least"), F.max("old_split").alias("most")
-    )
+    # one row for each component; its earlier splits decide whether it keeps, fills or is quarantined
+    per = table.groupBy("component").agg(F.sum("size").alias("size"), F.min("split").alias("least"), F.max("split").alias("most"))
     kept = F.when(F.col("least") != F.col("most"), QUARANTINE).otherwise(F.col("least"))
     per = materialize(per.select("component", "size", kept.alias("split")), "component-sizes")
-    return table.select("node", "size", "component").join(_placed(per, targets).select("component", "split"), "component").select("node", "size", "component", "split")
+    placed = table.join(_placed(per, targets).select("component", F.col("split").alias("now")), "component")
+    left = F.when((F.col("now") == QUARANTINE) & (F.col("split") != QUARANTINE), F.col("split")).otherwise(F.col("old_split"))
+    return placed.select("node", "size", "component", F.col("now").alias("split"), left.alias("old_split"))
+
+
+def _grown(sizes: DataFrame, ties: DataFrame, existing: DataFrame) -> DataFrame:
+    """The rows of ``existing`` and of new nodes with the components that the new ties make."""
+    ties = materialize(ties.where("a is not null and b is not null").select("a", "b").distinct(), "new-ties")
+    ends = ties.select(F.explode(F.array("a", "b")).alias("node")).unionByName(sizes.select("node")).distinct()
+    # what the new batch mentions, with the root it has so far: itself where it is new
+    mentioned = ends.join(existing.select("node", "component"), "node", "left").join(sizes, "node", "left")
+    mentioned = materialize(mentioned.select("node", F.coalesce("component", "node").alias("root"), F.col("component").isNull().alias("fresh"), F.coalesce("size", F.lit(0)).alias("more")), "mentioned")
+    roots = mentioned.select("node", "root")
+    of_a, of_b = (roots.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in "ab")
+    reached = ties.join(of_a, "a").join(of_b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    merged = materialize(components(reached.select(F.col("a").alias("node")).limit(0), reached), "merged-roots")
+    merged = merged.where("node <> component").select(F.col("node").alias("root"), F.col("component").alias("into"))
+    grown = existing.join(mentioned.where("not fresh").select("node", "more"), "node", "left").select(
+        "node", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"), F.col("component").alias("root"), "split", "old_split"
+    )
+    added = mentioned.where("fresh").select("node", F.col("more").alias("size"), "root", *(F.lit(None).cast("string").alias(c) for c in ("split", "old_split")))
+    rows = grown.unionByName(added).join(merged, "root", "left")
+    return rows.select("node", "size", F.coalesce("into", "root").alias("component"), "split", "old_split")
+
+
+def save_components(table: DataFrame, path: str, version: int) -> DataFrame:
+    """Write ``table`` as a version of the component table kept at ``path``; versions are never overwritten."""
+    target = f"{path.rstrip('/')}/version={version:06d}"
+    table.select(*COLUMNS).write.mode("errorifexists").parquet(target)
+    return table.sparkSession.read.parquet(target)
+
+
+def load_components(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """(the last whole version of the table at ``path``, its number), or (None, 0); a version without its success mark was broken off."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None, 0
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    whole = [s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("version=") and fs.exists(mark(s.getPath(), "_SUCCESS"))]
+    if not whole:
+        return None, 0
+    last = max(whole)
+    return spark.read.parquet(f"{path.rstrip('/')}/{last}"), int(last.partition("=")[2])
+
+
+def add_batch(spark: SparkSession, path: str, nodes: DataFrame, ties: DataFrame, targets: DataFrame) -> DataFrame:
+    """One run: the persisted table at ``path`` with a batch of new ``nodes`` and ``ties``, written as its next version."""
+    existing, version = load_components(spark, path)
+    return save_components(update_components(nodes, ties, targets, existing), path, version + 1)
 
 
 def _placed(per: DataFrame, targets: DataFrame) -> DataFrame:
