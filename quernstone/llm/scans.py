@@ -1,7 +1,9 @@
 """Noise in texts taken from scanned pages (problem 4).
 
-Method.  A dictionary is counted over the clean question texts of the whole corpus.  Words of
-the scanned texts that it does not hold are looked up in an inverted index of character
+Method.  A dictionary is counted over the clean question texts of the whole corpus.  A spelling
+that is ``STRAY`` times rarer than another one that a scan takes for it counts as a stray, so
+a misreading or a slip among the clean texts makes no word.  Words of the scanned texts that
+the dictionary does not hold, or holds as strays, are looked up in an inverted index of character
 q-grams, joined with the dictionary's q-grams by rare prefixes; gradient-boosted trees rank
 the candidates and accept or refuse the best one as the reading of a misrecognised word.
 Classifiers of the same kind look at a line together with its neighbours: one for running
@@ -34,14 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernstone.llm.boosting import BoostedTrees
+from quernstone.llm.cells import cell_of, n_cells
 from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, one_row_each
 
 TRAIN_RECORDS = 3000
 #: Words of the dictionary that every task holds: the most frequent ones.
 FREQUENT = 50_000
-#: Times a word must occur among the clean texts to be proposed as a reading.
-LEAST_COUNT = 5
+#: How many times more frequent a word must be than a spelling that looks like it to make that a stray.
+STRAY = 100
 Q, OVERLAP = 2, 0.5
 #: Name of the flat texts that are looked at for words of their own.
 FLAT = "flat"
@@ -140,6 +143,18 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def with_strays(dictionary: DataFrame) -> DataFrame:
+    """(word, n, stray) of ``dictionary`` (word, n): stray spellings are STRAY times rarer than the most frequent word of their skeleton."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            skeletons = [skeleton(word) for word in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(skeletons, pa.string())], names=["word", "n", "skeleton"])
+
+    spelled = dictionary.select("word", "n").mapInArrow(run, "word string, n long, skeleton string")
+    return spelled.withColumn("stray", F.col("n") * STRAY <= F.max("n").over(Window.partitionBy("skeleton"))).select("word", "n", "stray")
+
+
 def in_formula(lines: list[str], kinds: list[str]) -> list[bool]:
     """Whether each line begins inside a formula that an earlier line of text left open."""
     inside, out = False, []
@@ -247,9 +262,9 @@ def break_features(head: str, tail: str, frequency: dict[str, int], skeletons: d
 class LineModels:
     """Classifiers of lines and breaks with the words they know; bounded by FREQUENT and TRAIN_RECORDS."""
 
-    def __init__(self, frequency: dict[str, int]):
+    def __init__(self, frequency: dict[str, int], strays: frozenset[str] = frozenset()):
         self.frequency = frequency
-        self.known = set(frequency)
+        self.known = set(frequency) - strays
         self.skeletons: dict[str, int] = {}
         for word, n in frequency.items():
             s = skeleton(word)
@@ -328,24 +343,18 @@ class LineModels:
         for text in texts:
             lines = one_form_lines(text)
             parts.append((text.split("\n"), lines))
-            if len(lines) > 1:  # else nothing can stand around it
-                features.append(line_features(lines, table_cells(lines), self.header_odds, self.known))
+            features.append(line_features(lines, table_cells(lines), self.header_odds, self.known))
         x = np.concatenate(features) if features else np.zeros((0, 22), np.float32)
         header, page = self.header.predict(x), self.page.predict(x)
         at, all_kinds, ends, places = 0, [], [], []
         for n, (stored, lines) in enumerate(parts):
-            if len(lines) == 1:
-                all_kinds.append(["text" if lines[0] else "blank"])
-                continue
             kinds = []
             for k, line in enumerate(lines, at):
                 if not line:
                     kinds.append("blank")
-                elif x[k, 0] <= 2 and line[-1] in ".?!,;":  # the end of a paragraph
-                    kinds.append("text")
                 elif header[k] >= 0.5 and header[k] >= page[k]:
                     kinds.append("header")
-                elif page[k] >= 0.5 and x[k, 2] and not x[k, 13]:
+                elif page[k] >= 0.5:
                     kinds.append("page_number")
                 else:
                     kinds.append("text")
@@ -364,7 +373,7 @@ class LineModels:
 # ---------------------------------------------------------------- misread words
 
 
-def _pair_features(word: str, meant: str, n_word: int, n_meant: int, shared: float) -> tuple:
+def _pair_features(word: str, meant: str, n_word: int, n_clean: int, n_meant: int, shared: float) -> tuple:
     a, b = skeleton(word), skeleton(meant)
     alike = SequenceMatcher(None, word, meant, autojunk=False)
     ops = [(word[i:j], meant[p:q]) for tag, i, j, p, q in alike.get_opcodes() if tag != "equal"]
@@ -373,9 +382,14 @@ def _pair_features(word: str, meant: str, n_word: int, n_meant: int, shared: flo
         shared, a == b, len(ops), visual, len(ops) - visual, len(word) - len(meant), len(meant), math.log1p(n_word), math.log1p(n_meant),
         math.log1p(n_meant) - math.log1p(n_word), sum(c.isdigit() for c in word), sum(not c.isalnum() and c != "-" for c in word),
         plain(word) == plain(meant), sum(len(x) + len(y) for x, y in ops), word[:1] == meant[:1],
+        math.log1p(n_clean), math.log1p(n_meant) - math.log1p(n_clean), math.log1p(n_word) - math.log1p(n_clean),
     )
 
 
+#: What a candidate is judged by, in the order of ``_pair_features``.
+_PAIR, _FEATURES = ("word", "meant", "n_word", "n_clean", "n_meant", "shared"), 18
+
+
 def _visual(seen: str, meant: str) -> bool:
     """Whether a scan takes ``meant`` for ``seen``: a sign for a letter, or a lost horn."""
     if seen and meant and skeleton(seen) == skeleton(meant):
@@ -389,34 +403,41 @@ def _grams(word: str) -> list[str]:
 
 
 def _gram_rows(words: DataFrame) -> DataFrame:
-    """(word, n, grams) of ``words`` (word, n)."""
+    """(word, n, n_clean, grams) of ``words`` (word, n, n_clean)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([_grams(w) for w in batch.column(0).to_pylist()], pa.list_(pa.string()))], names=["word", "n", "grams"])
+            made = pa.array([_grams(w) for w in batch.column(0).to_pylist()], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=["word", "n", "n_clean", "grams"])
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, grams array<string>")
+    return words.select("word", "n", "n_clean").mapInArrow(run, "word string, n long, n_clean long, grams array<string>")
 
 
 def candidates(odd: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(word, n_word, meant, n_meant, shared): words whose q-gram sets agree in OVERLAP or more, by an inverted join of rare prefixes."""
-    left, right = _gram_rows(odd).withColumn("side", F.lit(0)), _gram_rows(dictionary.where(F.col("n") >= LEAST_COUNT)).withColumn("side", F.lit(1))
+    """(word, n_word, n_clean, meant, n_meant, shared): words whose q-gram sets agree in OVERLAP or more, by an inverted join of rare prefixes.
+
+    ``odd`` has (word, n, n_clean), ``dictionary`` (word, n), every word of which can be the
+    reading.  Grams that many dictionary words have in their prefix are dealt to cells.
+    """
+    left = _gram_rows(odd).withColumn("side", F.lit(0))
+    right = _gram_rows(dictionary.select("word", "n", F.col("n").alias("n_clean"))).withColumn("side", F.lit(1))
     sets = materialize(left.unionByName(right), "gram-sets")
     rarity = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("rarity"))
     ranked = (
-        sets.select("side", "word", "n", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
+        sets.select("side", "word", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
         .join(rarity, "gram")
         .withColumn("at", F.row_number().over(Window.partitionBy("side", "word").orderBy("rarity", "gram")))
         .where(F.col("at") <= F.col("size") - F.ceil(F.col("size") * OVERLAP) + 1)
     )
-    a = ranked.where("side = 0").select("gram", "word", F.col("size").alias("sa"))
-    b = ranked.where("side = 1").select("gram", F.col("word").alias("meant"), F.col("size").alias("sb"))
-    met = a.join(b, "gram").where((F.col("sa") * OVERLAP <= F.col("sb")) & (F.col("sb") * OVERLAP <= F.col("sa"))).select("word", "meant").distinct()
-    x = sets.where("side = 0").select("word", F.col("n").alias("n_word"), F.col("grams").alias("ga"))
+    cells = n_cells("rarity")
+    a = ranked.where("side = 0").select("gram", "word", F.col("size").alias("sa"), F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"))
+    b = ranked.where("side = 1").select("gram", F.col("word").alias("meant"), F.col("size").alias("sb"), cell_of("word", cells).alias("cell"))
+    met = a.join(b, ["gram", "cell"]).where((F.col("sa") * OVERLAP <= F.col("sb")) & (F.col("sb") * OVERLAP <= F.col("sa")) & (F.col("word") != F.col("meant"))).select("word", "meant").distinct()
+    x = sets.where("side = 0").select("word", F.col("n").alias("n_word"), "n_clean", F.col("grams").alias("ga"))
     y = sets.where("side = 1").select(F.col("word").alias("meant"), F.col("n").alias("n_meant"), F.col("grams").alias("gb"))
     common = F.size(F.array_intersect("ga", "gb"))
     full = met.join(x, "word").join(y, "meant").withColumn("shared", common / (F.size("ga") + F.size("gb") - common))
-    return full.where(F.col("shared") >= OVERLAP).select("word", "n_word", "meant", "n_meant", "shared")
+    return full.where(F.col("shared") >= OVERLAP).select(*_PAIR)
 
 
 def readings(found: DataFrame, truth: list[tuple[str, str]], train_words: set[str]) -> DataFrame:
@@ -427,7 +448,7 @@ def readings(found: DataFrame, truth: list[tuple[str, str]], train_words: set[st
     spark = found.sparkSession
     wanted = spark.createDataFrame([(w,) for w in sorted(train_words)], "word string")
     rows = found.join(F.broadcast(wanted), "word", "left_semi").collect()  # odd words of at most TRAIN_RECORDS records
-    x = np.array([_pair_features(r.word, r.meant, r.n_word, r.n_meant, r.shared) for r in rows], np.float32).reshape(len(rows), 15)
+    x = np.array([_pair_features(*(r[c] for c in _PAIR)) for r in rows], np.float32).reshape(len(rows), _FEATURES)
     y = np.array([r.meant in meant_of.get(r.word, ()) for r in rows], bool)
     model = spark.sparkContext.broadcast(BoostedTrees(rounds=40, depth=3).fit(x, y))
 
@@ -435,7 +456,7 @@ def readings(found: DataFrame, truth: list[tuple[str, str]], train_words: set[st
         for batch in batches:
             if not batch.num_rows:
                 continue
-            features = np.array([_pair_features(*row) for row in zip(*(batch.column(n).to_pylist() for n in ("word", "meant", "n_word", "n_meant", "shared")), strict=True)], np.float32)
+            features = np.array([_pair_features(*row) for row in zip(*(batch.column(n).to_pylist() for n in _PAIR), strict=True)], np.float32)
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("meant"), pa.array(model.value.predict(features))], names=["word", "meant", "p"])
 
     scored = found.mapInArrow(run, "word string, meant string, p double").where("p >= 0.5")
@@ -480,18 +501,23 @@ def study(texts: DataFrame, clean: DataFrame, labelled: DataFrame):
     ``labelled`` (key, raw, clean) pairs page items with their clean text.
     """
     spark = texts.sparkSession
-    dictionary = materialize(count_words(clean), "dictionary")
-    frequent = {r.word: r.n for r in dictionary.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
-    models = LineModels(frequent)
-    several = labelled.where(F.col("raw").contains("\\n") & F.col("clean").isNotNull())
-    keys = several.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(TRAIN_RECORDS)  # keys first: no text is sorted
-    sample = several.join(F.broadcast(keys), "key").dropDuplicates(["key"])
-    records = [(text, r.clean) for r in sample.select("raw", "clean").collect() for text in [lines_of_json(r.raw)] if text and "\n" in text]
+    dictionary = materialize(with_strays(count_words(clean)), "dictionary")
+    frequent = dictionary.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    models = LineModels({r.word: r.n for r in frequent}, frozenset(r.word for r in frequent if r.stray))
+    # texts of several lines and, fewer, of one: a line alone must not look like noise for want of neighbours
+    readable = labelled.where(F.col("raw").isNotNull() & F.col("clean").isNotNull())
+    several = F.col("raw").contains("\\n")
+    records: list[tuple[str, str]] = []
+    for part, n in ((readable.where(several), TRAIN_RECORDS), (readable.where(~several), TRAIN_RECORDS // 4)):
+        keys = part.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(n)  # keys first: no text is sorted
+        sample = part.join(F.broadcast(keys), "key").groupBy("key").agg(F.min(F.struct("raw", "clean")).alias("r"))
+        records += [(text, r.clean) for r in sample.select("r.raw", "r.clean").collect() for text in [lines_of_json(r.raw)] if text]
     truth = models.fit(records)
     train_words = {w for scan, _ in records for line in one_form_lines(scan) for w in words_of(line) if w not in models.known and is_wordlike(w)}
     looked = materialize(_looked(texts, spark.sparkContext.broadcast(models)), "looked")
-    odd = looked.select(F.explode("odd").alias("word")).groupBy("word").agg(F.count("*").alias("n")).join(dictionary.select("word"), "word", "left_anti")
-    meant = materialize(readings(materialize(candidates(odd, dictionary), "candidates"), truth, train_words), "readings")
+    odd = looked.select(F.explode("odd").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    odd = odd.join(dictionary.select("word", F.col("n").alias("n_clean"), "stray"), "word", "left").where("coalesce(stray, true)").select("word", "n", F.coalesce("n_clean", F.lit(0)).alias("n_clean"))
+    meant = materialize(readings(materialize(candidates(odd, dictionary.where("not stray")), "candidates"), truth, train_words), "readings")
     return looked, meant, models
 
 

@@ -99,3 +99,23 @@ def test_every_scanned_column_is_repaired(spark, root):
     got = queries.p4_repaired(spark, root).where("field = 'question_text'")
     pages = table(spark, root, "mineru_preview_10_questions").where("question_text is not null")
     assert sorted(r.row_key for r in got.collect()) == sorted(str(r.ordinal) for r in pages.select("ordinal").distinct().collect())
+
+
+def test_stray_misreadings_among_many_clean_texts_hide_none(spark, rows):
+    """The clean texts a hundred times over, some with the misreading itself: it is still told from a word."""
+    pages = [(str(k), *noisy(k)) for k in range(1, 160)]
+    frame = rows([(key, json.dumps({"question_text": scan}, ensure_ascii=False), clean) for key, scan, clean in pages], "key string, raw string, clean string")
+    from pyspark.sql import functions as F
+
+    clean = frame.select(F.explode(F.array_repeat("clean", 100)).alias("text")).unionByName(rows([("khoảng cách tr0ng không gian",)] * 60, "text string"))
+    texts = scans.scanned(rows([], "row_key string, text string"), frame.select(F.col("key").alias("row_key"), "raw"))
+    looked, meant, _ = scans.study(texts, clean, frame)
+    found = {(r.row_key, r.line_no) for r in scans.defects(looked, meant).where("defect = 'misread'").collect()}
+    assert found == {(key, n) for key, scan, _ in pages for n, line in enumerate(scan.split("\n"), 1) if "tr0ng" in line}
+
+
+def test_strays_are_relative(rows):
+    counted = rows([("trong", 10_000), ("tr0ng", 100), ("đường", 5000), ("đuờng", 51), ("hiếm", 1)], "word string, n long")
+    assert {r.word for r in scans.with_strays(counted).where("stray").collect()} == {"tr0ng"}
+    doubled = counted.selectExpr("word", "n * 1000 as n")
+    assert {r.word for r in scans.with_strays(doubled).where("stray").collect()} == {"tr0ng"}
