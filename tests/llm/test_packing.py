@@ -44,3 +44,37 @@ def test_neighbours_share_words(spark, rows):
 
 def test_empty(spark, rows):
     assert packing.pack(rows([], "doc_id long, text string")).count() == 0
+
+
+def test_windows_hold_related_texts(spark, rows):
+    """Words in common of two texts of one window, against two texts of any windows."""
+    import random
+
+    rng = random.Random(8)
+    topics = [[f"topic{t}word{k}" for k in range(30)] for t in range(12)]
+    common = [f"common{k}" for k in range(15)]
+    documents = {k: " ".join(rng.choices(topics[k % 12], k=14) + rng.choices(common, k=6)) for k in range(960)}
+    out = packing.pack(rows(list(documents.items()), "doc_id long, text string"), capacity=512, shard=120).collect()
+    check(out, documents, 512)
+    groups = {}
+    for r in out:
+        groups.setdefault(r.container, []).append(set(documents[r.doc_id].split()))
+
+    def shared(pairs):
+        return sum(len(a & b) / len(a | b) for a, b in pairs) / len(pairs)
+
+    inside = [(g[0], g[k]) for g in groups.values() for k in range(1, len(g))]
+    every = [s for g in groups.values() for s in g]
+    anywhere = [rng.sample(every, 2) for _ in range(2000)]
+    assert shared(inside) > 2 * shared(anywhere)
+
+
+def test_copies_are_no_hot_shard(spark, rows):
+    from pyspark.sql import functions as F
+
+    pieces = rows([(k, 5, 7) for k in range(3000)] + [(3000 + k, k % 40, k % 7) for k in range(2000)], "doc_id long, first int, second int")
+    dealt = packing._dealt(pieces, 100)
+    assert dealt.count() == 5000
+    assert dealt.groupBy("shard", "part").count().agg(F.max("count")).first()[0] <= 300
+    documents = {k: "the same words in every copy" for k in range(500)}
+    check(packing.pack(rows(list(documents.items()), "doc_id long, text string"), capacity=64, shard=50).collect(), documents, 64)
