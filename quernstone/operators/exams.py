@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.values import answer_letter, section_code
@@ -28,17 +28,15 @@ def has_answer():
 
 
 def one_question(questions: DataFrame) -> DataFrame:
-    """Repeated rows of a question are one."""
-    return questions.dropDuplicates(["id"])
+    """Repeated rows of a question are one: the earliest."""
+    return keep_one(questions, ["id"], F.unix_micros("created_at"))
 
 
-def best_links(links: DataFrame, questions: DataFrame) -> DataFrame:
-    """One link for each place (exam, section, number) of an exam: the answered, better explained, earlier one.
+def best_links(links: DataFrame, questions: DataFrame, score: Column) -> DataFrame:
+    """One link for each place (exam, section, number) of an exam: that of the question of the highest ``score``.
 
-    Score: 250 for an answer, 50 for a figure, a tenth of a point for each of the first 900
-    characters of the explanation; a tie goes to the earlier link, then the lesser id.
+    A tie goes to the earlier link, then the lesser id.
     """
-    score = F.when(has_answer(), 250).otherwise(0) + F.when(F.coalesce("needs_visual", F.lit(False)), 50).otherwise(0) + F.least(F.coalesce(F.length("explanation"), F.lit(0)), F.lit(900)) / 10
     scored = one_question(questions).select(F.col("id").alias("question_id"), score.alias("score"))
     placed = links.withColumn("section", section_code("section_code")).select("id", "exam_set_id", "question_id", "section", "question_number", "created_at").distinct()
     both = placed.join(scored, "question_id")

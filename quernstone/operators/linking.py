@@ -6,18 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernstone.operators.sequences import carried_forward
+from quernstone.runtime import materialize, shuffle_partitions
+
 
 def narrowed(pairs: DataFrame, item: str, node: str, preferences: list[Column], n: int) -> DataFrame:
     """(item, nodes): the nodes linked to an item, kept to those of each preference in turn unless none is left; ``n`` at most, in order.
 
-    Each step is an aggregate over the item's rows and no join: a row stays if it meets the
-    preference or no row of its item does.
+    A row stays if it meets the preference or no row of its item that is left does.  What each
+    preference leaves is a matter of order alone: rows that meet the first come before those that
+    don't, and so on, so the best rank of an item is an aggregate and the rows of that rank are
+    those that stay.  Only the first ``n`` of them are collected.
     """
-    rows = pairs.select(item, node, *(F.coalesce(p, F.lit(False)).alias(f"_p{k}") for k, p in enumerate(preferences))).distinct()
-    for k in range(len(preferences)):
-        some = F.max(f"_p{k}").over(Window.partitionBy(item))
-        rows = rows.withColumn("_some", some).where(F.col(f"_p{k}") | ~F.col("_some")).drop("_some")
-    return rows.groupBy(item).agg(F.slice(F.array_sort(F.collect_set(node)), 1, n).alias("nodes"))
+    rows = pairs.select(item, node, F.array(*(~F.coalesce(p, F.lit(False)) for p in preferences)).alias("_rank")).distinct()
+    first = F.dense_rank().over(Window.partitionBy(item).orderBy("_rank", node))
+    kept = rows.withColumn("_k", first).where(F.col("_k") <= n)
+    best = kept.groupBy(item).agg(F.min("_rank").alias("_best"))
+    stay = kept.join(best, item).where(F.col("_rank") == F.col("_best"))
+    return stay.groupBy(item).agg(F.array_sort(F.collect_set(node)).alias("nodes"))
 
 
 def required_but_missing(required: DataFrame, covered: DataFrame, by: str, value: str) -> DataFrame:
@@ -31,15 +37,33 @@ def moved(members: DataFrame, moves: DataFrame, member: str, unit: str) -> DataF
 
 
 def renumbered(units: DataFrame, order: list, into: str = "unit_no") -> DataFrame:
-    """Units numbered from 1; meant for the units of a course, which are few."""
-    return units.withColumn(into, F.row_number().over(Window.orderBy(*order)))
+    """Units numbered from 1 in one order over all of them.
+
+    The rows are divided by ranges of the order and numbered inside each; how many rows the
+    ranges before have, one number a range, is added.  No task gets all rows.
+    """
+    parts = shuffle_partitions(units.sparkSession)
+    ranged = units.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    counts = sorted((r["_range"], r.n) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())  # one row a partition
+    before, at = [], 0
+    for k, n in counts:
+        before.append((k, at))
+        at += n
+    starts = units.sparkSession.createDataFrame(before, "_range int, _before long")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(into, within).join(F.broadcast(starts), "_range").withColumn(into, (F.col(into) + F.col("_before")).cast("int")).drop("_range", "_before")
 
 
-def filled(rows: DataFrame, group: str, order: str, text: str) -> DataFrame:
-    """``text`` completed by the longest of its group, else by the last one before."""
-    longest = rows.where(F.col(text).isNotNull() & F.col(group).isNotNull()).groupBy(group).agg(F.max_by(text, F.length(text)).alias("_longest"))
+def filled(rows: DataFrame, by: list[str], group: str, order: str, text: str) -> DataFrame:
+    """``text`` completed by the longest text of its ``group``, else by the last one before it in ``order`` within ``by``.
+
+    Of several longest texts the least is taken; a row without a group, or whose group has no text, takes the one carried forward.
+    """
+    named = rows.where(F.col(text).isNotNull() & F.col(group).isNotNull())
+    longest = named.groupBy(group).agg(F.min(F.struct((-F.length(text)).alias("n"), F.col(text).alias("t"))).alias("_m")).select(group, F.col("_m.t").alias("_longest"))
     joined = rows.join(longest, group, "left").withColumn(text, F.coalesce(text, "_longest")).drop("_longest")
-    return joined
+    return carried_forward(joined, by, [order], text, "_last").withColumn(text, F.coalesce(text, "_last")).drop("_last")
 
 
 def contiguous(rows: DataFrame, by: str, number: str) -> DataFrame:

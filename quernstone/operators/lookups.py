@@ -18,15 +18,42 @@ def in_order(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
 def by_title(items: DataFrame, titles: DataFrame, item: str = "item", unit: str = "unit", title: str = "title") -> DataFrame:
     """(item, unit, how): the unit of equal title, else the least unit whose title holds the item or is held by it.
 
-    Containment has no equi-join: items that found no equal title meet the titles in a
-    nested loop, which is meant for a list of titles of bounded size.
+    Items that found no equal title meet the titles through ``containing``, in both directions.  Empty texts hold nothing and are held by nothing.
     """
     exact = items.join(titles.groupBy(F.col(title).alias(item)).agg(F.min(unit).alias(unit)), item).withColumn("how", F.lit("exact"))
     rest = items.join(exact.select(item), item, "left_anti")
-    held = rest.join(titles, F.col(title).contains(F.col(item)) | F.col(item).contains(F.col(title)))
+    named = titles.select(F.col(title).alias("_title"), F.col(unit).alias("_unit")).where("_title is not null")
+    within = containing(rest.select(item), item, named.select("_title").distinct(), "_title").select(item, "_title")
+    around = containing(named.select("_title").distinct(), "_title", rest.select(item), item).select(item, "_title")
+    held = within.unionByName(around).distinct().join(named, "_title").select(item, F.col("_unit").alias(unit))
     return exact.select(item, unit, "how").unionByName(held.groupBy(item).agg(F.min(unit).alias(unit)).withColumn("how", F.lit("contained")))
 
 
+def _grams(x: Column, size: int) -> Column:
+    """The different runs of ``size`` characters of a text."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(x) - (size - 1), F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda k: F.substr(x, k, F.lit(size))))
+
+
+def containing(parts: DataFrame, part: str, wholes: DataFrame, whole: str, size: int = 4) -> DataFrame:
+    """(part, whole) of distinct texts where ``part`` stands inside ``whole``, by an equi-join.
+
+    A text holds every run of characters that a part of it has.  Each part is looked up by the
+    one of its runs of ``size`` characters that fewest wholes have, and those found are tested; parts
+    shorter than that by their rarest single character.
+    """
+    found = None
+    for long, n in ((True, size), (False, 1)):
+        some = parts.select(part).where((F.length(part) >= size) if long else F.length(part).between(1, size - 1)).distinct()
+        grams = wholes.select(whole, F.explode(_grams(F.col(whole), n)).alias("_gram"))
+        count = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+        asked = some.select(part, F.explode(_grams(F.col(part), n)).alias("_gram")).join(count, "_gram", "left")
+        rarest = asked.groupBy(part).agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("g"))).alias("_m")).select(part, F.col("_m.g").alias("_gram"))
+        met = rarest.join(grams, "_gram").where(F.col(whole).contains(F.col(part))).select(part, whole)
+        found = met if found is None else found.unionByName(met)
+    return found
+
+
 def best_element(tokens: Column, candidates: Column) -> Column:
     """(text, score) of the candidate (text, tokens) most like ``tokens``, the first of several; null without one in common."""
     scored = F.transform(candidates, lambda c, k: F.named_struct(F.lit("score"), jaccard(tokens, c["tokens"]), F.lit("k"), -k, F.lit("text"), c["text"]))
@@ -71,5 +98,6 @@ def commit(exams: DataFrame, questions: DataFrame, stored: DataFrame, replace: b
     first = F.row_number().over(Window.partitionBy("source_code").orderBy("section", "number"))
     once = rows.withColumn("_k", first).where("_k = 1").select(question_id, "source_code", "text")
     links = rows.select("set_id", question_id, "section", "number").distinct()
-    run = sets.agg(F.count("*").alias("n_sets")).crossJoin(links.agg(F.count("*").alias("n_links")))  # one row with one row
+    both = sets.select(F.lit(1).alias("s"), F.lit(0).alias("l")).unionByName(links.select(F.lit(0).alias("s"), F.lit(1).alias("l")))
+    run = both.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("n_sets"), F.coalesce(F.sum("l"), F.lit(0)).alias("n_links"))
     return {"skipped": skipped, "sets": sets, "questions": once, "links": links, "run": run}

@@ -23,7 +23,7 @@ def answered(rows: DataFrame, key: str, request: str, fallback: str, providers:
 
     Equal requests are asked once.  ``cache`` (request_sha1, reply) holds replies of earlier runs.
     """
-    asked = rows.select(F.sha1(F.coalesce(request, F.lit(""))).alias("request_sha1"), F.col(request).alias("request")).dropDuplicates(["request_sha1"])
+    asked = rows.select(F.sha1(F.coalesce(request, F.lit(""))).alias("request_sha1"), F.col(request).alias("request")).distinct()
     known = None
     if cache is not None:
         known = cache.select("request_sha1", "reply").withColumn("status", F.lit("cached"))

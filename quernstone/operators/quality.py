@@ -27,12 +27,10 @@ def histogram(df: DataFrame, *by: str) -> DataFrame:
 def samples(df: DataFrame, ident: str, n: int) -> DataFrame:
     """The first ``n`` ids of each issue: a report of examples.
 
-    Aggregated as bounded arrays, merged slice by slice, so a frequent issue is no hot group.
+    A top-k window: every task keeps its first ``n`` of an issue before anything is shuffled, so a frequent issue is no hot group.
     """
-    rows = df.select(F.explode("issues").alias("issue"), F.col(ident).alias("id"), F.pmod(F.xxhash64(ident), F.lit(64)).alias("salt"))
-    part = rows.groupBy("issue", "salt").agg(F.slice(F.array_sort(F.collect_set("id")), 1, n).alias("ids"))
-    whole = part.groupBy("issue").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, n).alias("ids"))
-    return whole.select("issue", F.posexplode("ids").alias("k", "id")).withColumn("k", F.col("k") + 1)
+    rows = df.select(F.explode("issues").alias("issue"), F.col(ident).alias("id")).distinct()
+    return first_rows(rows, ["issue"], n, F.col("id")).select("issue", "k", "id")
 
 
 def first_rows(df: DataFrame, by: list[str], n: int, *order: Column) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quernstone.functions import keys, text, tolerant_json, values
 from quernstone.operators import clusters, coverage, dedupe, exams, parse, quality, sequences
 from quernstone.plans.base import EXAM, fold, query, squash, tokens
-from quernstone.runtime import table
+from quernstone.runtime import least_row, table
 from quernstone.streaming import incremental
 
 _CODE = f"regexp_replace({fold(squash('section_code'))}, '[_-]', ' ', 'g')"
@@ -45,12 +45,13 @@ def exam_audit(spark: SparkSession, root: str) -> DataFrame:
     return exams.audit(*(table(spark, root, f"standard_exam_{t}") for t in ("sets", "links", "questions")))
 
 
-@query(f"""WITH {EXAM}, q AS (SELECT id, CASE WHEN {_ANSWERED} THEN 250 ELSE 0 END + CASE WHEN coalesce(needs_visual, false) THEN 50 ELSE 0 END + least(coalesce(length(explanation), 0), 900) / 10 AS score FROM exam),
+@query(f"""WITH {EXAM}, q AS (SELECT id, CASE WHEN {_ANSWERED} THEN 4 ELSE 0 END + CASE WHEN coalesce(needs_visual, false) THEN 2 ELSE 0 END + CASE WHEN coalesce(length(explanation), 0) >= 200 THEN 1 ELSE 0 END AS score FROM exam),
 l AS (SELECT DISTINCT id, exam_set_id, question_id, {_SECTION} AS section, question_number, created_at FROM standard_exam_links)
 SELECT exam_set_id, section, question_number, l.id, question_id FROM l JOIN q ON q.id = question_id QUALIFY row_number() OVER (PARTITION BY exam_set_id, section, question_number ORDER BY score DESC, created_at, l.id) = 1""")
 def exam_best_links(spark: SparkSession, root: str) -> DataFrame:
     """The best question for each place of an exam."""
-    return exams.best_links(table(spark, root, "standard_exam_links"), table(spark, root, "standard_exam_questions")).select("exam_set_id", "section", "question_number", "id", "question_id")
+    score = F.when(exams.has_answer(), 4).otherwise(0) + F.when(F.coalesce("needs_visual", F.lit(False)), 2).otherwise(0) + F.when(F.coalesce(F.length("explanation"), F.lit(0)) >= 200, 1).otherwise(0)
+    return exams.best_links(table(spark, root, "standard_exam_links"), table(spark, root, "standard_exam_questions"), score).select("exam_set_id", "section", "question_number", "id", "question_id")
 
 
 @query("""WITH n AS (SELECT id AS exam_set_id, unnest(range(1, max(expected_question_count) + 1)) AS question_number FROM standard_exam_sets GROUP BY id)
@@ -143,7 +144,7 @@ _BLOCKS = "b AS (SELECT ordinal, any_value(raw_block) AS raw_block, any_value(qu
 
 
 def _blocks(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "mineru_preview_10_questions").select("ordinal", "raw_block", "question_html", "question_text").dropDuplicates(["ordinal"])
+    return least_row(table(spark, root, "mineru_preview_10_questions").select("ordinal", "raw_block", "question_html", "question_text"), ["ordinal"])
 
 
 @query(rf"""WITH {_BLOCKS}, l AS (SELECT ordinal, unnest(string_split(raw_block, chr(10))) AS line, generate_subscripts(string_split(raw_block, chr(10)), 1) AS line_no FROM b)
@@ -185,7 +186,7 @@ _LESSONS = "l AS (SELECT * FROM curriculum_scan QUALIFY row_number() OVER (PARTI
 
 
 def _lessons(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "curriculum_scan").dropDuplicates(["lesson_id"])
+    return dedupe.keep_one(table(spark, root, "curriculum_scan"), ["lesson_id"], F.unix_micros("scanned_at"))
 
 
 @query(f"""WITH {_LESSONS}, c AS (SELECT source_name, lesson_id, unnest(analysis.concepts) AS concept FROM l), f AS (SELECT source_name, concept, min(lesson_id) AS first_lesson FROM c GROUP BY 1, 2)
@@ -286,7 +287,7 @@ def doc_longest(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def doc_json_objects(spark: SparkSession, root: str) -> DataFrame:
     """Objects inside the page items of the bank, the broken ones repaired where that is possible."""
-    rows = table(spark, root, "random_sources_preview").select("question_id", "raw_text").dropDuplicates(["question_id"])
+    rows = table(spark, root, "random_sources_preview").select("question_id", "raw_text").transform(lambda d: least_row(d, ["question_id"]))
     out = tolerant_json.explode_objects(rows, "question_id", "raw_text")
     return out.select("question_id", "ordinal", F.sha1("object").alias("digest"), "bad_tail")
 
@@ -294,7 +295,7 @@ def doc_json_objects(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def doc_question_segments(spark: SparkSession, root: str) -> DataFrame:
     """Questions with their contexts inside documents."""
-    rows = table(spark, root, "documents").where("text is not null").select("doc_id", "text").dropDuplicates(["doc_id"])
+    rows = table(spark, root, "documents").where("text is not null").select("doc_id", "text").transform(lambda d: least_row(d, ["doc_id"]))
     out = parse.question_segments(rows, "doc_id", "text")
     return out.select("doc_id", "segment_no", "question_no", F.length("question").alias("n_chars"))
 

@@ -57,7 +57,7 @@ def lesson_titles(spark: SparkSession, root: str) -> DataFrame:
     lower = lambda c: F.lower(text.squash(F.col(c)))
     titles = table(spark, root, "canonical_subtopics").select(F.col("id").alias("unit"), lower("subtopic_title").alias("title")).unionByName(table(spark, root, "canonical_chapters").select(F.col("id").alias("unit"), lower("chapter_title").alias("title")))
     found = _lessons(spark, root).select(lower("analysis.lesson_title").alias("item")).where("item is not null").distinct()
-    return lookups.by_title(found, F.broadcast(titles))
+    return lookups.by_title(found, titles)
 
 
 @query(f"""WITH {_LESSONS}, a AS (SELECT lesson_id, {tokens('analysis.lesson_title')} AS t, analysis.concepts AS concepts FROM l WHERE len(analysis.concepts) > 0),

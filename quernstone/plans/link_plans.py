@@ -10,7 +10,7 @@ from quernstone.operators import documents, exams, linking, mapping, providers,
 from quernstone.plans.bank_plans import _LETTER
 from quernstone.plans.base import BANK, EXAM, bank, fold, query, squash, tokens
 from quernstone.plans.exam_plans import _LESSONS, _lessons
-from quernstone.runtime import table
+from quernstone.runtime import least_row, table
 
 
 @query(f"""WITH {BANK}, i AS (SELECT question_id, list_filter([CASE WHEN regexp_matches(question_text, '[\\x{{E000}}-\\x{{F8FF}}]') THEN 'private_glyphs' END,
@@ -104,13 +104,13 @@ def qb_answer_conflicts(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"""WITH {BANK}, v AS (SELECT DISTINCT topic AS item FROM bank WHERE topic IS NOT NULL), a AS (SELECT item, {tokens('item')} AS ta FROM v), b AS (SELECT id AS unit, {tokens('topic_title')} AS tb FROM canonical_topics),
 s AS (SELECT item, unit, len(list_intersect(ta, tb)) / len(list_distinct(list_concat(ta, tb))) AS score FROM a, b WHERE len(list_intersect(ta, tb)) > 0), t AS (SELECT item, score FROM s QUALIFY row_number() OVER (PARTITION BY item ORDER BY score DESC, unit) = 1)
-SELECT item, round(least(0.89, score * 1.9), 6) AS confidence, round(least(0.89, score * 1.9), 6) < 0.42 AS needs_review FROM t""")
+SELECT item, round(least(0.9, score * 1.5), 6) AS confidence, round(least(0.9, score * 1.5), 6) < 0.4 AS needs_review FROM t""")
 def qb_mapping_confidence(spark: SparkSession, root: str) -> DataFrame:
     """Confidence of the mapping by word similarity, and whether it needs a review."""
     items = bank(spark, root, "topic").select(F.col("topic").alias("item")).where("item is not null").distinct().withColumn("tokens", text.tokens(F.col("item")))
     units = table(spark, root, "canonical_topics").select(F.col("id").alias("unit"), text.tokens(F.col("topic_title")).alias("tokens"))
-    confidence = F.round(F.least(F.lit(0.89), F.col("score") * 1.9), 6)
-    return mapping.best_by_tokens(items, units).select("item", confidence.alias("confidence"), (confidence < 0.42).alias("needs_review"))
+    confidence = F.round(F.least(F.lit(0.9), F.col("score") * 1.5), 6)
+    return mapping.best_by_tokens(items, units).select("item", confidence.alias("confidence"), (confidence < 0.4).alias("needs_review"))
 
 
 @query(f"""WITH {EXAM} SELECT id, sha1(question_text || chr(10) || array_to_string(list_transform(statements, lambda s: coalesce(s.label, '') || ') ' || coalesce(s.text, '')), chr(10))) AS digest FROM exam WHERE statements IS NOT NULL AND question_text IS NOT NULL""")
@@ -140,6 +140,6 @@ def qb_dangling_options(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def doc_questions(spark: SparkSession, root: str) -> DataFrame:
     """Questions of the documents from marker to marker (tested on literals)."""
-    rows = table(spark, root, "documents").where("text is not null").select("doc_id", "text").dropDuplicates(["doc_id"])
+    rows = table(spark, root, "documents").where("text is not null").select("doc_id", "text").transform(lambda d: least_row(d, ["doc_id"]))
     out = documents.questions(rows, "text", "doc_id", marker=r"(?iu)(?:câu|question|bài|unit)\s*(\d+)\s*[.:)]")
     return out.select("doc_id", "ordinal", "number", F.length("stem").alias("n_chars"), F.size("options").alias("n_options"), "answer")

@@ -47,25 +47,34 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Keys with several rows up to which they are sent to every task.
-FEW_KEYS = 200_000
+#: Keys with several rows, and bytes of them, up to which they are sent to every task.
+FEW_KEYS, FEW_BYTES = 200_000, 16 << 20
+
+
+def least_row(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row a key: the least by its other columns in their order, so the choice doesn't depend on the partitioning."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_least")).select(*(F.col(c) if c in keys else F.col("_least")[c].alias(c) for c in df.columns))
 
 
 def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row a key, without shuffling the rows whose key occurs once.
+    """One row a key, the least of several, without shuffling the rows whose key occurs once.
 
     A first pass reads the key columns alone.  If no key repeats the rows stay where they are;
-    if at most ``FEW_KEYS`` do, only their rows are gathered; beyond that all are.
+    if at most ``FEW_KEYS`` do, of ``FEW_BYTES`` in all, only their rows are gathered; beyond that all are.
     """
     repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*keys)
-    n = repeated.limit(FEW_KEYS + 1).count()
-    if n == 0:
+    width = F.length(F.concat_ws("", *(F.col(k).cast("string") for k in keys)))
+    facts = repeated.limit(FEW_KEYS + 1).agg(F.count("*").alias("n"), F.sum(width + 16).alias("size")).first()
+    if facts.n == 0:
         return df
-    if n > FEW_KEYS:
-        return df.dropDuplicates(keys)
+    if facts.n > FEW_KEYS or (facts.size or 0) > FEW_BYTES:
+        return least_row(df, keys)
     few = F.broadcast(repeated.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))))
     same = [df[k].eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return df.join(few, same, "left_anti").unionByName(df.join(few, same, "left_semi").dropDuplicates(keys))
+    return df.join(few, same, "left_anti").unionByName(least_row(df.join(few, same, "left_semi"), keys))
 
 
 def ship(spark: SparkSession) -> None:

@@ -8,20 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quernstone.runtime import least_row
+
 
 def new_content(rows: DataFrame, processed: DataFrame, text: str, force: bool = False) -> DataFrame:
     """One row for each content that ``processed`` (sha1) lacks; with ``force`` for every content."""
     hashed = rows.withColumn("sha1", F.sha1(F.coalesce(text, F.lit(""))))
     fresh = hashed if force else hashed.join(processed.select("sha1").distinct(), "sha1", "left_anti")
-    return fresh.dropDuplicates(["sha1"])
+    return least_row(fresh, ["sha1"])
 
 
-def stream_new_content(spark: SparkSession, folder: str, schema: str, text: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def stream_new_content(spark: SparkSession, folder: str, schema: str, text: str, sink: Callable[[DataFrame, int], None], checkpoint: str, within: tuple[str, str] | None = None) -> StreamingQuery:
     """The same over Parquet files that arrive in ``folder``: each content reaches ``sink`` once, across restarts.
 
     On a finite input the rows are those of ``new_content`` over all of it, up to which of
     several equal rows stands for them.
+
+    Without ``within`` every hash ever seen is kept as state, 20 bytes and its overhead a content,
+    spread over the shuffle partitions.  With ``within`` (a column of times and a delay such as
+    ``30 days``) a repetition is recognised that long after the first, and older state is dropped.
     """
-    rows = spark.readStream.schema(schema).parquet(folder)
-    once = rows.withColumn("sha1", F.sha1(F.coalesce(text, F.lit("")))).dropDuplicates(["sha1"])
+    rows = spark.readStream.schema(schema).parquet(folder).withColumn("sha1", F.sha1(F.coalesce(text, F.lit(""))))
+    once = rows.dropDuplicates(["sha1"]) if within is None else rows.withWatermark(*within).dropDuplicatesWithinWatermark(["sha1"])
     return once.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,9 +3,10 @@ import pytest
 from quernstone import runtime
 
 
-@pytest.mark.parametrize("limit", [0, 1, 100])
-def test_one_row_each(rows, monkeypatch, limit):
+@pytest.mark.parametrize("limit,size", [(0, 1 << 20), (1, 1 << 20), (100, 1 << 20), (100, 1)])
+def test_one_row_each(rows, monkeypatch, limit, size):
     monkeypatch.setattr(runtime, "FEW_KEYS", limit)
+    monkeypatch.setattr(runtime, "FEW_BYTES", size)
     frame = rows([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (3, None)], "k int, t string")
     got = sorted((r.k is None, r.k or 0, r.t) for r in runtime.one_row_each(frame, ["k"]).collect() if r.t is not None or r.k == 3)
     assert [g[1] for g in got] == [1, 2, 3, 0]
@@ -14,6 +15,23 @@ def test_one_row_each(rows, monkeypatch, limit):
     assert runtime.one_row_each(frame.limit(0), ["k"]).count() == 0
 
 
+def test_the_least_of_several_rows_is_kept(rows):
+    frame = rows([(1, "b", [2]), (1, "a", [3]), (1, "a", [1]), (2, None, None)], "k int, t string, a array<int>")
+    got = sorted((r.k, r.t, r.a) for r in runtime.least_row(frame.repartition(3), ["k"]).collect())
+    assert got == [(1, "a", [1]), (2, None, None)] and runtime.least_row(frame.select("k"), ["k"]).count() == 2
+
+
+@pytest.mark.parametrize("missing", ["tiktoken", "xxhash", "regex"])
+def test_core_queries_need_no_library_of_the_others(missing):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; q = e.queries(); assert set(e.oracle_sql()) <= set(q); print('QUERIES', sum(n[0] != 'p' for n in q))"
+    done = subprocess.run([sys.executable, "-c", script], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, timeout=120)
+    assert "QUERIES" in done.stdout and int(done.stdout.split()[-1]) > 90, done.stderr[-2000:]
+
+
 def test_materialized_tables_are_read_back(spark, rows):
     frame = rows([(1, [1, 2])], "a int, b array<int>")
     again = runtime.materialize(frame, "x")
