@@ -354,7 +354,8 @@ class LineModels:
                     kinds.append("blank")
                 elif header[k] >= 0.5 and header[k] >= page[k]:
                     kinds.append("header")
-                elif page[k] >= 0.5:
+                # a page number has digits, and a cell of a table is text; the texts learnt from have no tables
+                elif page[k] >= 0.5 and x[k, 2] and not x[k, 13]:
                     kinds.append("page_number")
                 else:
                     kinds.append("text")

@@ -51,9 +51,12 @@ def test_noise_of_made_up_pages(spark, rows, listed):
     frame = rows(bank + [("x", "{broken", "text"), ("y", None, None), ("1", bank[0][1], bank[0][2])], "key string, raw string, clean string")
     from pyspark.sql import functions as F
 
-    texts = scans.scanned(rows([], "row_key string, text string"), frame.select(F.col("key").alias("row_key"), "raw"))
+    table = "khoảng cách giữa hai điểm trong không\n[1;3)\n[3;5)\n[5;7)\nTần số\nCount\n4\n12\n9\ngian bằng 7 mét thì diện tích"
+    blocks = rows([("table", table), ("one", "khoảng cách giữa hai điểm bằng 5 mét"), ("number", "17")], "row_key string, text string")
+    texts = scans.scanned(blocks, frame.select(F.col("key").alias("row_key"), "raw"))
     looked, meant, _ = scans.study(texts, frame.select(F.col("clean").alias("text")), frame)
     found = {(r.row_key, r.line_no, r.defect) for r in scans.defects(looked, meant).collect()}
+    assert not {f for f in found if f[0] in ("table", "one")}  # cells and labels of a table, a text of one line
     for key, scan, _ in pages:
         for n, line in enumerate(scan.split("\n"), 1):
             assert ((key, n, "page_number") in found) == line.startswith("Trang "), line
