@@ -328,10 +328,13 @@ def record_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     ties = links.select("a1", "a2", "b1", "b2").unionByName(
         sizes.where("n > 1").select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
     )
-    celled = members.join(large, ["h1", "h2"], "left").select("id", "h1", "h2", F.coalesce(cell_of("id", F.col("cells")), F.lit(0)).alias("cell"))
-    for side in "ab":
-        many = large.select(F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), F.col("cells"))
-        ties = ties.join(many, [f"{side}1", f"{side}2"], "left").withColumn(f"cell_{side}", F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1))).drop("cells")
-    a, b = (celled.select(F.col("id").alias(x), F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), F.col("cell").alias(f"cell_{s}")) for s, x in zip("ab", "xy", strict=True))
-    both = ties.join(a, ["a1", "a2", "cell_a"]).join(b, ["b1", "b2", "cell_b"]).where("x <> y")
+    celled, keys = members, []
+    if not large.isEmpty():
+        celled = members.join(large, ["h1", "h2"], "left").select("id", "h1", "h2", F.coalesce(cell_of("id", F.col("cells")), F.lit(0)).alias("cell"))
+        keys = ["cell"]
+        for side in "ab":
+            many = large.select(F.col("h1").alias(f"{side}1"), F.col("h2").alias(f"{side}2"), "cells")
+            ties = ties.join(many, [f"{side}1", f"{side}2"], "left").withColumn(f"cell_{side}", F.explode(F.sequence(F.lit(0), F.coalesce("cells", F.lit(1)) - 1))).drop("cells")
+    a, b = (celled.select(F.col("id").alias(x), F.col("h1").alias(f"{s}1"), F.col("h2").alias(f"{s}2"), *(F.col(k).alias(f"{k}_{s}") for k in keys)) for s, x in zip("ab", "xy", strict=True))
+    both = ties.join(a, ["a1", "a2", *(f"{k}_a" for k in keys)]).join(b, ["b1", "b2", *(f"{k}_b" for k in keys)]).where("x <> y")
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
