@@ -42,7 +42,8 @@ ROWS, BANDS, BITS = 5, 80, 128
 HOT = 8192
 #: Pairs of rows below which a pair of nodes is compared directly, and such comparisons done at a time.
 LEAF, AT_ONCE = 64, 1 << 20
-_SEEDS = np.random.default_rng(20240917).integers(1, 1 << 63, ROWS * BANDS, dtype=np.uint64) | np.uint64(1)
+#: One 64-bit hash of a word gives four minwise hashes of 16 bits.
+_SEEDS = np.random.default_rng(20240917).integers(1, 1 << 63, -(-ROWS * BANDS // 4), dtype=np.uint64) | np.uint64(1)
 _SETS = "id string, h1 long, h2 long, words array<int>"
 
 
@@ -75,15 +76,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _minwise(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The ROWS * BANDS minwise hashes of each set; ``starts`` has where each set begins in ``words``."""
+    """The ROWS * BANDS minwise hashes of each set; ``starts`` has where each set begins in ``words``.
+
+    Hashes of 16 bits: two sets that share their least word agree as ever; different least words
+    agree by chance now and then, which only adds a candidate.
+    """
     distinct, at = np.unique(words, return_inverse=True)
     x = distinct.astype(np.int64).view(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) ^ _SEEDS[None, :]
     x ^= x >> np.uint64(31)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0x94D049BB133111EB)
-    table = (x >> np.uint64(32)).astype(np.uint32)
-    return np.minimum.reduceat(table[at], starts, axis=0)
+    x ^= x >> np.uint64(32)
+    return np.minimum.reduceat(x.view(np.uint16)[:, : ROWS * BANDS][at], starts, axis=0)
 
 
 def _parities(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
