@@ -117,6 +117,27 @@ def unsupported_words(question: Column, passage: Column, n: int = 10) -> Column:
     return (F.size(words) >= 2) & (F.size(F.array_intersect(words, there)) == 0)
 
 
+def blank_number(stem: Column) -> Column:
+    """The number of the blank that a stem asks for, such as (12) or (12)____; the last one if there are several."""
+    return F.try_element_at(F.regexp_extract_all(stem, F.lit(r"\((\d{1,3})\)"), F.lit(1)), F.lit(-1)).try_cast("int")
+
+
+def cloze(stem: Column, passage: Column, least: int = 180) -> Column:
+    """(stem, passage) of a gap item: a stem that holds its whole passage gives it up and asks for the blank by number; others stay."""
+    number = blank_number(stem)
+    holds = number.isNotNull() & (F.length(stem) >= least)
+    asked = F.concat(F.lit("Choose the option for blank ("), number.cast("string"), F.lit(")."))
+    return F.struct(F.when(holds, asked).otherwise(stem).alias("stem"), F.when(holds & (F.coalesce(F.trim(passage), F.lit("")) == ""), squash(stem)).otherwise(passage).alias("passage"))
+
+
+def blank_context(text: Column, number: Column, before: int = 1300, after: int = 1300) -> Column:
+    """The part of ``text`` around the last place where blank ``number`` stands; null without one."""
+    mark = F.concat(F.lit("("), number.cast("string"), F.lit(")"))
+    at = F.length(text) - F.length(F.substring_index(text, mark, -1)) - F.length(mark) + 1
+    begin = F.greatest(at - before, F.lit(1))
+    return F.when(F.contains(text, mark), F.substr(text, begin, at - begin + after))
+
+
 def last_passage(x: Column, cue: str) -> Column:
     """The text from the last cue on; null without one."""
     parts = F.split(x, f"(?={cue})", -1)

@@ -113,6 +113,11 @@ def escape_html(x: Column) -> Column:
     return x
 
 
+def base_url(x: Column, version: str = "v1") -> Column:
+    """An address without white space around it, slashes at its end and a version as its last part."""
+    return F.regexp_replace(F.regexp_replace(F.trim(x), "/+$", ""), f"/{version}$", "")
+
+
 def chunks(x: Column, size: int) -> Column:
     """Pieces of at most ``size`` characters, each ending at its last line break if it has one."""
     step = F.aggregate(

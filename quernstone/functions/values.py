@@ -74,6 +74,15 @@ def valid_box(box: Column) -> Column:
     return F.coalesce((F.size(box) == 4) & inside & (F.get(box, 2) > F.get(box, 0)) & (F.get(box, 3) > F.get(box, 1)), F.lit(False))
 
 
+def mapped(x: Column, table: dict, default=None) -> Column:
+    """What ``table`` has for the folded, squashed value, else ``default``."""
+    key = fold(squash(x))
+    out = F.lit(default)
+    for name, value in table.items():
+        out = F.when(key == name, F.lit(value)).otherwise(out)
+    return out
+
+
 def difficulty_rank(x: Column) -> Column:
     # The four levels of difficulty in order; any other ranks 99.
     levels = ("nhan biet", "thong hieu", "van dung", "van dung cao")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quernstone.operators.sequences import carried_forward
-from quernstone.runtime import materialize, shuffle_partitions
 
 
 def narrowed(pairs: DataFrame, item: str, node: str, preferences: list[Column], n: int) -> DataFrame:
@@ -36,25 +35,6 @@ def moved(members: DataFrame, moves: DataFrame, member: str, unit: str) -> DataF
     return members.join(to, member, "left").withColumn(unit, F.coalesce("_to", unit)).drop("_to")
 
 
-def renumbered(units: DataFrame, order: list, into: str = "unit_no") -> DataFrame:
-    """Units numbered from 1 in one order over all of them.
-
-    The rows are divided by ranges of the order and numbered inside each; how many rows the
-    ranges before have, one number a range, is added.  No task gets all rows.
-    """
-    parts = shuffle_partitions(units.sparkSession)
-    ranged = units.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
-    ranged = materialize(ranged, "ranges")
-    counts = sorted((r["_range"], r.n) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())  # one row a partition
-    before, at = [], 0
-    for k, n in counts:
-        before.append((k, at))
-        at += n
-    starts = units.sparkSession.createDataFrame(before, "_range int, _before long")
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.withColumn(into, within).join(F.broadcast(starts), "_range").withColumn(into, (F.col(into) + F.col("_before")).cast("int")).drop("_range", "_before")
-
-
 def filled(rows: DataFrame, by: list[str], group: str, order: str, text: str) -> DataFrame:
     """``text`` completed by the longest text of its ``group``, else by the last one before it in ``order`` within ``by``.
 

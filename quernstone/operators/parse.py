@@ -60,6 +60,32 @@ def coded_blocks(df: DataFrame, column: str, *keep: str, pattern: str = r"\[IT\d
     return rows.select(*keep, "ordinal", F.regexp_extract("block", pattern, 0).alias("code"), squash("block").alias("block")).where(F.length("block") >= least)
 
 
+def exam_items(df: DataFrame, column: str, *keep: str, part: str = r"(?iu)(?:PHẦN|PART)\s+(III|II|I|[1-3])\b", marker: str = r"(?iu)(?:câu|question)\s*(\d+)\s*[.:)]") -> DataFrame:
+    """(keep, part, number, body) of a text divided by headings of parts and, inside each, by question markers.
+
+    Questions before the first heading have part null; what stands before the first marker of a part belongs to no question.
+    """
+    parts = F.split(F.regexp_replace(column, part, "\u0001$1\u0002"), "\u0001", -1)
+    rows = df.select(*keep, F.posexplode(parts).alias("part_no", "_part"))
+    named = rows.select(*keep, "part_no", F.when(F.col("part_no") > 0, F.upper(F.substring_index("_part", "\u0002", 1))).alias("part"), F.when(F.col("part_no") > 0, F.regexp_replace("_part", "^[^\u0002]*\u0002", "")).otherwise(F.col("_part")).alias("_text"))
+    pieces = F.split(F.regexp_replace("_text", marker, "\u0001$1\u0002"), "\u0001", -1)
+    found = named.select(*keep, "part_no", "part", F.posexplode(pieces).alias("ordinal", "_piece")).where("ordinal > 0")
+    return found.select(*keep, "part_no", "part", "ordinal", F.substring_index("_piece", "\u0002", 1).cast("int").alias("number"), F.regexp_replace("_piece", "^[^\u0002]*\u0002", "").alias("body"))
+
+
+def one_chunk(text: Column, number: Column) -> Column:
+    """The text of one question, from its marker to the next one; null if the text hasn't it."""
+    pieces = F.split(F.regexp_replace(text, r"(?iu)(?:câu|question)\s*(\d+)\s*[.:)]", "\u0001$1\u0002"), "\u0001", -1)
+    head = F.concat(number.cast("string"), F.lit("\u0002"))
+    return F.substring_index(F.get(F.filter(pieces, lambda p: p.startswith(head)), F.lit(0)), "\u0002", -1)
+
+
+def chosen_letter(text: Column) -> Column:
+    """The letter that a solution says it chooses; null without one."""
+    letter = F.upper(F.regexp_extract(text, r"(?iu)(?:chọn|choose)\s*(?:đáp án|option)?\s*:?\s*([A-D])\b", 1))
+    return F.when(letter != "", letter)
+
+
 def question_segments(df: DataFrame, key: str, column: str) -> DataFrame:
     """(key, segment_no, context, question_no, question): questions with the context that stands before them.
 

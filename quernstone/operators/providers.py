@@ -11,7 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,3 +55,15 @@ def _ask(text: str | None, providers: list[Provider], tries: int, wait: float) -
                 if attempt + 1 < tries:
                     time.sleep(wait * (attempt + 1))
     return None, "fallback_error"
+
+
+def is_retryable(message: Column) -> Column:
+    """Whether a provider's message tells of a passing state: a limit, a timeout, an overload."""
+    return F.coalesce(F.lower(message).rlike(r"\b(?:429|500|502|503|504)\b|timed? ?out|rate limit|quota|overloaded|reset after"), F.lit(False))
+
+
+def wait_seconds(message: Column, extra: int = 10, default: int = 30) -> Column:
+    """How long to wait by the hint "reset after 1h 2m 3s" of a message, and ``extra`` seconds; ``default`` without a hint."""
+    part = lambda unit: F.coalesce(F.regexp_extract(F.lower(message), r"reset after (?:\d+[hms] ?)*?(\d+)" + unit, 1).try_cast("int"), F.lit(0))
+    total = part("h") * 3600 + part("m") * 60 + part("s")
+    return F.when(F.coalesce(total, F.lit(0)) > 0, total + extra).otherwise(F.lit(default))

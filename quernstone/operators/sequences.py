@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quernstone.runtime import materialize, shuffle_partitions
+
 
 def spans(df: DataFrame, by: list[str], start: str, last: Column | None = None) -> DataFrame:
     """Each row's end: one before the next start of its group, else ``last``."""
@@ -67,6 +69,37 @@ def unique_codes(df: DataFrame, code: str, order: list) -> DataFrame:
     return df.withColumn("unique_code", F.when(k == 1, F.col(code)).otherwise(F.concat_ws("-", F.col(code), k.cast("string"))))
 
 
+def batches(df: DataFrame, ident: str, order: list, size: int = 100) -> DataFrame:
+    """(ident, k, batch) of the different ids in the order of their first row; batches of ``size`` are numbered from 1."""
+    first = df.where(F.col(ident).isNotNull()).groupBy(ident).agg(F.min(F.struct(*order)).alias("_first"))
+    named = renumbered(first, ["_first", ident], "k")
+    return named.select(ident, "k", (F.floor((F.col("k") - 1) / size) + 1).cast("int").alias("batch"))
+
+
+def renumbered(units: DataFrame, order: list, into: str = "unit_no") -> DataFrame:
+    """Units numbered from 1 in one order over all of them.
+
+    The rows are divided by ranges of the order and numbered inside each; how many rows the
+    ranges before have, one number a range, is added.  No task gets all rows.
+    """
+    parts = shuffle_partitions(units.sparkSession)
+    ranged = materialize(units.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = sorted((r["_range"], r.n) for r in ranged.groupBy("_range").agg(F.count("*").alias("n")).collect())  # one row a partition
+    before, at = [], 0
+    for k, n in counts:
+        before.append((k, at))
+        at += n
+    starts = units.sparkSession.createDataFrame(before, "_range int, _before long")
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn(into, within).join(F.broadcast(starts), "_range").withColumn(into, (F.col(into) + F.col("_before")).cast("int")).drop("_range", "_before")
+
+
+def looked_back(df: DataFrame, number: str, lags: tuple[int, ...], into: str = "reviews") -> DataFrame:
+    """``df`` with the earlier numbers that a row looks back to: ``number`` less each of ``lags``, those from 1 on."""
+    earlier = F.array(*(F.col(number) - lag for lag in lags))
+    return df.withColumn(into, F.filter(earlier, lambda k: k >= 1))
+
+
 def within_budget(df: DataFrame, by: list[str], order: list, size: Column, budget: int) -> DataFrame:
     """The rows of each group before the running total first exceeds ``budget``."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

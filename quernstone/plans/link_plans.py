@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text, values
-from quernstone.operators import documents, exams, linking, mapping, providers, quality
+from quernstone.operators import documents, exams, linking, mapping, providers, quality, sequences
 from quernstone.plans.bank_plans import _LETTER
 from quernstone.plans.base import BANK, EXAM, bank, fold, query, squash, tokens
 from quernstone.plans.exam_plans import _LESSONS, _lessons
@@ -71,7 +71,7 @@ def lesson_regrouped(spark: SparkSession, root: str) -> DataFrame:
     home = table(spark, root, "canonical_subtopics").select("subtopic_title", "topic_id").join(F.broadcast(topics), "topic_id")
     moves = rows.where("kind = 'review'").join(F.broadcast(home), "subtopic_title").select("lesson_id", F.col("to").alias("unit"))
     units = linking.moved(rows.select("lesson_id", "unit"), moves, "lesson_id", "unit").where("unit is not null").groupBy("unit").agg(F.count("*").alias("n"), F.min("lesson_id").alias("first_lesson"))
-    return linking.renumbered(units, ["first_lesson", "unit"]).select("unit", "n", "unit_no")
+    return sequences.renumbered(units, ["first_lesson", "unit"]).select("unit", "n", "unit_no")
 
 
 @query("""WITH s AS (SELECT DISTINCT id, source_hash, exam_index FROM standard_exam_sets), l AS (SELECT DISTINCT exam_set_id, id, question_number FROM standard_exam_links),

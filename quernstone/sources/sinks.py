@@ -21,6 +21,12 @@ def write_upsert(base_path: str, new: DataFrame, keys: list[str], version: str)
     return target
 
 
+def insert_batches(rows: DataFrame, url: str, name: str, size: int = 100, driver: str | None = None) -> None:
+    """Add the rows to a table of a database, ``size`` to a statement, every partition on its own connection."""
+    writer = rows.write.mode("append").option("batchsize", size)
+    (writer.option("driver", driver) if driver else writer).jdbc(url, name)
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").json(path)
 

@@ -18,6 +18,31 @@ def new_content(rows: DataFrame, processed: DataFrame, text: str, force: bool =
     return least_row(fresh, ["sha1"])
 
 
+def rerun(existing: DataFrame, results: DataFrame, key: str, failed: str) -> DataFrame:
+    """``existing`` after its failed rows were run again: a result takes the place of all rows of its key, failed or not; keys without a result stay."""
+    again = existing.where(F.expr(failed)).select(key).distinct()
+    new = results.join(again, key, "left_semi")
+    return existing.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def gated(rows: DataFrame, failed: str, force: bool = False) -> DataFrame:
+    """(status, n_ok, n_failed, written) of a run: one with failures writes nothing unless forced; one without any success has failed."""
+    n = rows.agg(F.count_if(~F.coalesce(F.expr(failed), F.lit(False))).alias("n_ok"), F.count_if(F.coalesce(F.expr(failed), F.lit(False))).alias("n_failed"))
+    status = F.when(F.col("n_failed") == 0, "completed").when(F.col("n_ok") == 0, "failed").otherwise("completed_with_errors")
+    written = F.when((F.col("n_failed") == 0) | ((F.col("n_ok") > 0) & F.lit(force)), F.col("n_ok")).otherwise(F.lit(0))
+    return n.select(status.alias("status"), "n_ok", "n_failed", written.alias("written"))
+
+
+def applied(base: DataFrame, new: DataFrame, key: str, columns: list[str], apply: bool) -> DataFrame:
+    """The rows that differ, each with what is done to it: with ``apply`` the change itself, else the plan of it, and nothing is altered."""
+    both = new.select(key, *(F.col(c).alias(f"_new_{c}") for c in columns)).join(base.select(key, *columns, F.lit(True).alias("_there")), key, "left")
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_new_{c}"))
+    action = F.when(F.col("_there").isNull(), "insert").otherwise("update")
+    return both.where(F.col("_there").isNull() | ~same).select(key, F.concat(F.lit("" if apply else "would "), action).alias("action"), *(F.col(f"_new_{c}").alias(c) for c in columns))
+
+
 def stream_new_content(spark: SparkSession, folder: str, schema: str, text: str, sink: Callable[[DataFrame, int], None], checkpoint: str, within: tuple[str, str] | None = None) -> StreamingQuery:
     """The same over Parquet files that arrive in ``folder``: each content reaches ``sink`` once, across restarts.
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from quernstone.operators import documents, linking, providers
+from quernstone.operators import documents, linking, providers, sequences
 
 
 def listed(df, *columns):
@@ -15,7 +15,7 @@ def test_narrowing_is_soft(rows):
 def test_required_moved_numbered(rows):
     assert listed(linking.required_but_missing(rows([("s", "a"), ("s", "b")], "s string, v string"), rows([("s", "a")], "s string, v string"), "s", "v")) == [("s", "b")]
     assert listed(linking.moved(rows([(1, "x"), (2, "y")], "m int, u string"), rows([(1, "y")], "m int, u string"), "m", "u")) == [(1, "y"), (2, "y")]
-    assert listed(linking.renumbered(rows([("b",), ("a",)], "u string"), ["u"])) == [("a", 1), ("b", 2)]
+    assert listed(sequences.renumbered(rows([("b",), ("a",)], "u string"), ["u"])) == [("a", 1), ("b", 2)]
     passages = rows([("f", "p", 1, "x"), ("f", "p", 2, None), ("f", "p", 3, "xyz"), ("f", None, 4, None), ("g", None, 1, None), ("g", "q", 2, None), ("g", "r", 3, "r"), ("g", "q", 4, None)], "f string, g string, o int, t string")
     assert listed(linking.filled(passages, ["f"], "g", "o", "t"), "f", "o", "t") == [
         ("f", 1, "x"), ("f", 2, "xyz"), ("f", 3, "xyz"), ("f", 4, "xyz"), ("g", 1, None), ("g", 2, None), ("g", 3, "r"), ("g", 4, "r"),
