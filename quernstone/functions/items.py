@@ -133,7 +133,7 @@ def cloze(stem: Column, passage: Column, least: int = 180) -> Column:
 def blank_context(text: Column, number: Column, before: int = 1300, after: int = 1300) -> Column:
     """The part of ``text`` around the last place where blank ``number`` stands; null without one."""
     mark = F.concat(F.lit("("), number.cast("string"), F.lit(")"))
-    at = F.length(text) - F.length(F.substring_index(text, mark, -1)) - F.length(mark) + 1
+    at = F.length(text) - F.length(F.call_function("substring_index", text, mark, F.lit(-1))) - F.length(mark) + 1
     begin = F.greatest(at - before, F.lit(1))
     return F.when(F.contains(text, mark), F.substr(text, begin, at - begin + after))
 

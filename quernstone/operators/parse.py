@@ -77,7 +77,7 @@ def one_chunk(text: Column, number: Column) -> Column:
     """The text of one question, from its marker to the next one; null if the text hasn't it."""
     pieces = F.split(F.regexp_replace(text, r"(?iu)(?:câu|question)\s*(\d+)\s*[.:)]", "\u0001$1\u0002"), "\u0001", -1)
     head = F.concat(number.cast("string"), F.lit("\u0002"))
-    return F.substring_index(F.get(F.filter(pieces, lambda p: p.startswith(head)), F.lit(0)), "\u0002", -1)
+    return F.trim(F.substring_index(F.get(F.filter(pieces, lambda p: p.startswith(head)), F.lit(0)), "\u0002", -1))
 
 
 def chosen_letter(text: Column) -> Column:

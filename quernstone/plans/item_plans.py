@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.functions import items, keys, text
+from quernstone.functions import items, keys, text, values
 from quernstone.operators import exams, lookups
 from quernstone.plans.base import BANK, EXAM, bank, fold, query, squash, tokens
 from quernstone.plans.exam_plans import _LESSONS, _lessons
@@ -38,9 +38,9 @@ def qb_answerable(spark: SparkSession, root: str) -> DataFrame:
 
 @query(f"""WITH {EXAM} SELECT id, k.label AS label, k.answer AS answer FROM (SELECT id, unnest(list_transform([1, 2, 3, 4], lambda i: {{'label': coalesce(statements[i].label, substring('abcd', i, 1)), 'answer': statements[i].answer}})) AS k FROM exam WHERE statements IS NOT NULL)""")
 def exam_padded_statements(spark: SparkSession, root: str) -> DataFrame:
-    """Four statements for each true/false question, padded where some lack."""
+    """Four statements for each true/false question, padded where some lack, their answers set from letters."""
     rows = exams.one_question(table(spark, root, "standard_exam_questions")).where("statements is not null")
-    return rows.select("id", F.explode(items.with_truths(F.col("statements"), F.lit("????"))).alias("s")).select("id", "s.label", "s.answer")
+    return rows.select("id", F.explode(items.with_truths(F.transform("statements", lambda s: s.withField("answer", F.lit(None).cast("boolean"))), values.statement_answers(F.col("statements")))).alias("s")).select("id", "s.label", "s.answer")
 
 
 @query(f"""WITH {_LESSONS} SELECT lesson_id, array_to_string(list_slice(list_filter(list_transform(analysis.objectives, lambda s: trim(s)), lambda s: coalesce(s, '') <> ''), 1, 2), '|') AS objectives FROM l WHERE analysis IS NOT NULL""")
@@ -93,20 +93,6 @@ def qb_stable_ids(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("question_id", keys.stable_id("qb", F.col("source_file"), F.col("page_number"), F.col("question_text")).alias("stable_id"))
 
 
-@query("""WITH s AS (SELECT DISTINCT id, source_hash, exam_index FROM standard_exam_sets), l AS (SELECT DISTINCT exam_set_id, question_id FROM standard_exam_links) SELECT 'sets' AS part, count(*) AS n FROM s UNION ALL SELECT 'links', count(*) FROM l JOIN s ON s.id = exam_set_id UNION ALL SELECT 'questions', count(DISTINCT question_id) FROM l JOIN s ON s.id = exam_set_id UNION ALL SELECT 'skipped', 0""")
-def exam_commit(spark: SparkSession, root: str) -> DataFrame:
-    """Rows that storing all exams anew would write."""
-    sets = table(spark, root, "standard_exam_sets").select("id", "source_hash", "exam_index").distinct()
-    links = table(spark, root, "standard_exam_links").select("exam_set_id", "question_id").distinct()
-    questions = links.join(sets.withColumnRenamed("id", "exam_set_id"), "exam_set_id").select("source_hash", "exam_index", F.col("question_id").alias("source_code"), F.lit("").alias("section"), F.lit(0).alias("number"), F.lit("").alias("text"))
-    made = lookups.commit(sets.drop("id"), questions, sets.limit(0))
-    out = None
-    for part in ("sets", "links", "questions", "skipped"):
-        counted = made[part].agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
-        out = counted if out is None else out.unionByName(counted)
-    return out
-
-
 @query(f"""WITH {BANK} SELECT question_id, CASE WHEN length(regexp_replace(upper(s), '[^DS]', '', 'g')) = 4 THEN regexp_replace(upper(s), '[^DS]', '', 'g') END AS letters
 FROM (SELECT question_id, array_to_string(list_transform(from_json(statements, '["JSON"]'), lambda x: CASE json_extract_string(x, '$.answer') WHEN 'true' THEN 'd' WHEN 'false' THEN 's' ELSE '?' END), ' ') AS s FROM bank WHERE json_valid(statements))""")
 def qb_truth_letters(spark: SparkSession, root: str) -> DataFrame:

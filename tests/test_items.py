@@ -81,3 +81,46 @@ def test_commit_is_repeatable(rows):
     again = lookups.commit(exams, questions, stored, replace=True)
     assert [again[k].count() for k in ("skipped", "sets", "questions", "links")] == [0, 2, 2, 3]
     assert listed(again["sets"], "set_id") == listed(lookups.commit(exams, questions, stored, replace=True)["sets"], "set_id")
+
+
+def test_containment_agrees_with_brute_force(rows):
+    import random
+
+    rng = random.Random(4)
+    wholes = ["".join(rng.choices("abc ", k=rng.randrange(0, 14))) for _ in range(60)]
+    parts = ["".join(rng.choices("abc ", k=rng.randrange(0, 6))) for _ in range(60)] + ["", "a", "abca", wholes[3]]
+    got = {tuple(r) for r in lookups.containing(rows([(p,) for p in parts], "p string"), "p", rows([(w,) for w in set(wholes)], "w string"), "w").collect()}
+    assert got == {(p, w) for p in parts for w in wholes if p and p in w}
+
+
+def test_blanks_and_hints(rows):
+    from quernstone.operators import parse, providers
+
+    assert one(rows, "the (3) and (12) ____", items.blank_number) == 12 and one(rows, "none", items.blank_number) is None
+    assert one(rows, "ab (7) cd (7) ef", lambda c: items.blank_context(c, F.lit(7), 3, 5)) == "cd (7) e"
+    assert tuple(one(rows, "short (1)", lambda c: items.cloze(c, F.lit(None).cast("string")))) == ("short (1)", None)
+    assert [one(rows, m, providers.wait_seconds) for m in ("reset after 1h 2m 3s", "Reset after 40s", "reset after 2m", "busy", None)] == [3733, 50, 130, 30, 30]
+    assert [one(rows, m, providers.is_retryable) for m in ("HTTP 429", "read timed out", "bad request", None)] == [True, True, False, False]
+    assert [one(rows, t, parse.chosen_letter) for t in ("Vậy chọn đáp án C.", "Choose b", "none", None)] == ["C", "B", None, None]
+    assert one(rows, "Câu 1: a\nCâu 12: bc\nCâu 2: d", lambda c: parse.one_chunk(c, F.lit(2))) == "d"
+
+
+def test_exam_items_of_a_text(rows):
+    from quernstone.operators import parse
+
+    frame = rows([("e", "Câu 9: before\nPHẦN I\nintro\nCâu 1: a\nA. x\nCâu 2. b\nphần iii\nQuestion 1) c"), ("n", None), ("m", "")], "k string, t string")
+    got = sorted((r.part or "", r.number, r.body.strip()) for r in parse.exam_items(frame, "t", "k").collect())
+    assert got == [("", 9, "before"), ("I", 1, "a\nA. x"), ("I", 2, "b"), ("III", 1, "c")]
+
+
+def test_incremental_state(rows):
+    from quernstone.streaming import incremental
+
+    old = rows([("a", "ok"), ("b", "failed"), ("b", "failed"), ("c", "failed")], "k string, s string")
+    again = incremental.rerun(old, rows([("b", "ok"), ("a", "changed")], "k string, s string"), "k", "s = 'failed'")
+    assert listed(again) == [("a", "ok"), ("b", "ok"), ("c", "failed")]
+    assert [tuple(incremental.gated(f, "s = 'failed'", force).first()) for f, force in ((old, False), (old, True), (old.where("s = 'ok'"), False), (old.where("s = 'failed'"), True), (old.limit(0), False))] == [
+        ("completed_with_errors", 1, 3, 0), ("completed_with_errors", 1, 3, 1), ("completed", 1, 0, 1), ("failed", 0, 3, 0), ("completed", 0, 0, 0),
+    ]
+    new = rows([("a", "ok"), ("c", "x"), ("z", None)], "k string, s string")
+    assert listed(incremental.applied(rows([("a", "ok"), ("c", None)], "k string, s string"), new, "k", ["s"], False)) == [("c", "would update", "x"), ("z", "would insert", None)]
