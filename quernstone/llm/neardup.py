@@ -11,7 +11,8 @@ The fingerprints lose nothing: a word in one of two sets only changes one bit, s
 in at most as many bits as the sets do in words, and sets of a and b words with similarity t
 or more differ in at most (1 - t) / (1 + t) * (a + b) words and have sizes in a ratio of at
 least t.  Only the bands can miss: a pair of similarity s shares none of them with probability
-(1 - s ** ROWS) ** BANDS, which is 4.0e-7 at 0.7, 3.4e-8 at 0.72 and 3.9e-10 at 0.75.  Equal sets
+(1 - s ** ROWS) ** BANDS, which is 4.0e-7 at 0.7, 3.4e-8 at 0.72 and 3.9e-10 at 0.75; where even
+that is too much, ``exact`` takes the candidates from prefixes of rare words.  Equal sets
 of words are one class before all this, so a text that a third of all rows repeat is one
 fingerprint.
 
@@ -30,9 +31,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quernstone.llm.cells import HOT as HOT_CLASS
-from quernstone.llm.cells import cell_of, n_cells
+from quernstone.llm.cells import cell_of, in_cells, n_cells
 from quernstone.llm.forms import one_form
 from quernstone.runtime import materialize, shuffle_partitions
 
@@ -288,27 +290,55 @@ def word_sets(records: DataFrame) -> DataFrame:
     return narrow.mapInArrow(_sets, _SETS)
 
 
-def near_duplicates(records: DataFrame, threshold: float = 0.7) -> tuple[DataFrame, DataFrame]:
+def _banded_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the pairs of sets that share a band and keep the budget of the tries."""
+    partitions = shuffle_partitions(classes.sparkSession)
+    bands = classes.select("h1", "words").mapInArrow(_banded, "band long, high long, low long, size int, h1 long")
+    found = materialize(
+        bands.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(HOT, threshold), "a long, b long, hot boolean"), "trie-pairs"
+    )
+    pairs = found.where("not hot").select("a", "b")
+    hot = found.where("hot")
+    if not hot.isEmpty():
+        pairs = pairs.unionByName(_hot_pairs(bands, hot, partitions, threshold).select("a", "b"))
+    return pairs.distinct()
+
+
+def _prefixed_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): every pair of sets that can have the similarity ``threshold``; none is missed.
+
+    Sets of that similarity share one of the |x| - ceil(t |x|) + 1 rarest words of either.  The
+    pairs that meet on such a word and whose sizes allow it come out; words that many prefixes
+    hold are dealt to cells.  It costs a join of the prefixes' postings, which the bands save.
+    """
+    rarity = classes.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("rarity"))
+    ranked = classes.select("h1", F.size("words").alias("size"), F.explode("words").alias("word")).join(rarity, "word")
+    at = F.row_number().over(Window.partitionBy("h1", "size").orderBy("rarity", "word"))
+    prefix = ranked.withColumn("at", at).where(F.col("at") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1)
+    prefix = materialize(prefix.select("word", "h1", "size", "at"), "prefixes")
+    held = prefix.join(prefix.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "word")
+    left, right = in_cells(held, "h1", "n")
+    x, y = left.alias("x"), right.alias("y")
+    low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
+    common = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at")) + F.least("x.at", "y.at")  # at most, by the places of the word
+    can = (low + 1e-6 >= threshold * high) & (common * (1 + threshold) + 1e-6 >= threshold * (F.col("x.size") + F.col("y.size")))
+    met = x.join(y, (F.col("x.word") == F.col("y.word")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.h1") < F.col("y.h1")) & can)
+    return met.select(F.col("x.h1").alias("a"), F.col("y.h1").alias("b")).distinct()
+
+
+def near_duplicates(records: DataFrame, threshold: float = 0.7, exact: bool = False) -> tuple[DataFrame, DataFrame]:
     """(members, links) of the records (id, text).
 
     members: (id, h1, h2), the class of equal word sets of each record.  links: (a1, a2, b1,
     b2, similarity), pairs of different classes whose sets agree in at least ``threshold``.
+    With ``exact`` the candidates come from prefixes of rare words instead of bands: no link can
+    be missed then, at the price of many more candidates.
     """
-    spark = records.sparkSession
-    partitions = shuffle_partitions(spark)
     sets = materialize(word_sets(records), "word-sets")
     members = sets.select("id", "h1", "h2").distinct()
     classes = sets.groupBy("h1", "h2").agg(F.first("words").alias("words"))
     classes = materialize(classes, "word-classes")
-    bands = classes.select("h1", "words").mapInArrow(_banded, "band long, high long, low long, size int, h1 long")
-    found = materialize(
-        bands.repartition(partitions, "band").sortWithinPartitions("band").mapInArrow(_joined(HOT, threshold), "a long, b long, hot boolean"), "trie-pairs"
-    )
-    pairs = found.where("not hot").select("a", "b")
-    hot = found.where("hot")
-    if not hot.isEmpty():
-        pairs = pairs.unionByName(_hot_pairs(bands, hot, partitions, threshold).select("a", "b"))
-    pairs = pairs.distinct()
+    pairs = (_prefixed_pairs if exact else _banded_pairs)(classes, threshold)
     left = classes.select(F.col("h1").alias("a"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("words").alias("wa"))
     right = classes.select(F.col("h1").alias("b"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("words").alias("wb"))
     common = F.size(F.array_intersect("wa", "wb"))

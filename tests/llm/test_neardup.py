@@ -123,3 +123,40 @@ def test_pairs_of_large_classes_spread_over_cells(rows, listed, monkeypatch):
     monkeypatch.setattr(cells, "HOT", 6)
     monkeypatch.setattr(neardup, "HOT_CLASS", 6)
     assert listed(neardup.record_pairs(*neardup.near_duplicates(frame))) == whole and len(whole) == 50 * 49 // 2 + 3
+
+
+def sizes_of(members, links):
+    by = {}
+    for r in members.collect():
+        by.setdefault((r.h1, r.h2), []).append(r.id)
+    return {tuple(sorted((min(by[a]), min(by[b])))) for a, b in (((r.a1, r.a2), (r.b1, r.b2)) for r in links.collect())}
+
+
+def test_exact_mode_and_bands_find_what_brute_force_finds(spark, root):
+    """All questions of the smallest tables, and pairs made just at and below the threshold."""
+    from quernstone.llm import queries
+
+    frame = queries._questions(spark, root)
+    rng = random.Random(13)
+    made = []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(85)]
+        made += [(f"x{k:03}", " ".join(words)), (f"y{k:03}", " ".join(words[:70] + [f"v{rng.randrange(10**9)}" for _ in range(15 + (k % 3))]))]
+    frame = frame.unionByName(spark.createDataFrame(made, "id string, text string"))
+    rows = [(r.id, r.text) for r in frame.distinct().collect() if r.id and r.text]
+    sets = {}
+    for key, text in rows:
+        found = frozenset(neardup.word_set(text))
+        if found:
+            sets.setdefault(found, []).append(key)
+    distinct = sorted(sets, key=lambda s: min(sets[s]))
+    meant = set()
+    for i, a in enumerate(distinct):
+        for b in distinct[i + 1 :]:
+            if min(len(a), len(b)) >= 0.7 * max(len(a), len(b)):
+                both = len(a & b)
+                if both >= 0.7 * (len(a) + len(b) - both) - 1e-12:
+                    meant.add(tuple(sorted((min(sets[a]), min(sets[b])))))
+    assert len(meant) > 20 and sum(x[0] == "x" for x, _ in meant) == 20
+    assert sizes_of(*neardup.near_duplicates(frame, exact=True)) == meant
+    assert sizes_of(*neardup.near_duplicates(frame)) == meant
