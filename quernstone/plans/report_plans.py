@@ -275,3 +275,47 @@ def lesson_area_coverage(spark: SparkSession, root: str) -> DataFrame:
     known = table(spark, root, "canonical_subtopics").select("subtopic_title").distinct()
     total = known.count()
     return taught.join(known, "subtopic_title").groupBy("area").agg(F.count("*").alias("n_covered")).withColumn("n_missing", F.lit(total) - F.col("n_covered"))
+
+
+# ---------------------------------------------------------------- verdicts and rows grown
+
+
+@query(f"""WITH {BANK}, {_ISSUES}, n AS (SELECT source_name, count(*) FILTER (len(issues) = 0) AS accepted, count(*) FILTER (len(issues) > 0) AS rejected FROM issues WHERE source_name IS NOT NULL GROUP BY 1) SELECT source_name, accepted > 0 AND rejected <= accepted AS accepted FROM n""")
+def qb_source_verdicts(spark: SparkSession, root: str) -> DataFrame:
+    """Sources that can be taken at a glance: some questions are sound, and no more have issues than haven't."""
+    per = _gated(spark, root).where("source_name is not null").groupBy("source_name").agg(F.count_if(F.size("issues") == 0).alias("ok"), F.count_if(F.size("issues") > 0).alias("bad"))
+    return per.select("source_name", ((F.col("ok") > 0) & (F.col("bad") <= F.col("ok"))).alias("accepted"))
+
+
+@query("""WITH f AS (SELECT question_id, source_file, coalesce(needs_review, false) AS a FROM random_sources_preview QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY imported_at, coalesce(needs_review, false)) = 1),
+l AS (SELECT question_id, coalesce(needs_review, false) AS b FROM random_sources_preview QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY imported_at DESC, coalesce(needs_review, false)) = 1),
+n AS (SELECT source_file, count(*) FILTER (a) AS before, count(*) FILTER (b) AS after, count(*) FILTER (NOT b) AS ready FROM f JOIN l USING (question_id) WHERE source_file IS NOT NULL GROUP BY 1) SELECT source_file, before, after, ready > 0 AND after < before AS accepted FROM n""")
+def qb_reextracted(spark: SparkSession, root: str) -> DataFrame:
+    """Files whose later imports are better than the first ones: some questions are ready and fewer need a review."""
+    review = F.coalesce("needs_review", F.lit(False))
+    rows = table(spark, root, "random_sources_preview").select("question_id", "source_file", review.alias("review"), F.unix_micros("imported_at").alias("us"))
+    both = rows.groupBy("question_id").agg(F.min(F.struct("us", "review", "source_file")).alias("f"), F.min(F.struct((-F.col("us")).alias("us"), "review")).alias("l"))
+    per = both.where("f.source_file is not null").groupBy(F.col("f.source_file").alias("source_file")).agg(F.count_if("f.review").alias("before"), F.count_if("l.review").alias("after"), F.count_if(~F.col("l.review")).alias("ready"))
+    return per.select("source_file", "before", "after", ((F.col("ready") > 0) & (F.col("after") < F.col("before"))).alias("accepted"))
+
+
+@query("""SELECT id, CASE WHEN min(exam_index) > 1 THEN min(subject) END AS subject, min(title) AS title FROM standard_exam_sets GROUP BY id""")
+def exam_schema_grown(spark: SparkSession, root: str) -> DataFrame:
+    """Rows with a column that the stored table lacks: it is added, and null for what was there."""
+    rows = table(spark, root, "standard_exam_sets").groupBy("id").agg(F.min("title").alias("title"), F.min("subject").alias("subject"), F.min("exam_index").alias("k"))
+    stored, new = rows.where("k = 1").select("id", "title"), rows.where("k > 1").select("id", "title", "subject")
+    return stored.join(new.select("id"), "id", "left_anti").unionByName(new, allowMissingColumns=True).select("id", "subject", "title")
+
+
+@query(f"""WITH {BANK} SELECT question_id, CASE {fold(squash('difficulty'))} WHEN 'nhan biet' THEN 'NB' WHEN 'thong hieu' THEN 'TH' WHEN 'van dung' THEN 'VD' WHEN 'van dung cao' THEN 'VDC' ELSE '?' END AS code, {squash('option_a')} AS option_a FROM bank""")
+def qb_item_fixups(spark: SparkSession, root: str) -> DataFrame:
+    """Word forms of raw items brought to codes, their options to single spaces."""
+    code = values.mapped(F.col("difficulty"), {"nhan biet": "NB", "thong hieu": "TH", "van dung": "VD", "van dung cao": "VDC"}, "?")
+    return bank(spark, root, "difficulty", "option_a").select("question_id", code.alias("code"), text.squash(F.col("option_a")).alias("option_a"))
+
+
+@query(f"""WITH {_BLOCKS} SELECT ordinal, 'segment-' || substring(sha1(CAST(ordinal AS VARCHAR) || '|' || {squash('raw_block')}), 1, 16) AS segment_id FROM b WHERE raw_block IS NOT NULL""")
+def block_segment_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of blocks by their place and text."""
+    key = F.concat_ws("|", F.col("ordinal").cast("string"), text.squash(F.col("raw_block")))
+    return _blocks(spark, root).where("raw_block is not null").select("ordinal", F.concat(F.lit("segment-"), F.substring(F.sha1(key), 1, 16)).alias("segment_id"))
