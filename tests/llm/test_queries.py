@@ -15,3 +15,5 @@ def test_query(spark, root, name):
     assert name not in COLUMNS or got.columns == COLUMNS[name]
     rows = got.collect()
     assert rows and len({str(r) for r in rows}) == len(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(bad in plan for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"))
