@@ -11,7 +11,7 @@ counts with the level given most often, the lower one in a tie.  Words that fewe
 
 Defined results: texts under 25 words (pieces between white space with a letter in them),
 null and empty texts get no level; without any label no text gets one; repeated rows of a
-document are one.
+document are one, and of several texts of a document the lowest level counts.
 """
 
 from __future__ import annotations
@@ -121,4 +121,5 @@ def with_level(documents: DataFrame, models: LevelModels) -> DataFrame:
             made = pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(levels, pa.int32())], names=["doc_id", "reading_level"])
             yield made.filter(keep)
 
-    return documents.select("doc_id", "text").where("text is not null").mapInArrow(run, "doc_id long, reading_level int").dropDuplicates(["doc_id"])
+    levels = documents.select("doc_id", "text").where("text is not null").mapInArrow(run, "doc_id long, reading_level int")
+    return levels.groupBy("doc_id").agg(F.min("reading_level").alias("reading_level"))
