@@ -44,11 +44,15 @@ p AS (SELECT DISTINCT exam.id, lesson_id, coalesce(kind = 'practice', false) AS
 q AS (SELECT * FROM p QUALIFY a OR NOT bool_or(a) OVER (PARTITION BY id)), r AS (SELECT * FROM q QUALIFY b OR NOT bool_or(b) OVER (PARTITION BY id))
 SELECT id, array_to_string(list_slice(list_sort(list_distinct(list(lesson_id))), 1, 5), ',') AS lessons FROM r GROUP BY id""")
 def exam_lesson_links(spark: SparkSession, root: str) -> DataFrame:
-    """Up to five lessons for each exam question: of its subtopic, practice and core ones if there are any."""
+    """Up to five lessons for each exam question: of its subtopic, practice and core ones if there are any.
+
+    A question has one subtopic and takes its lessons, so these are narrowed once a subtopic; questions times lessons are never paired.
+    """
     concepts = _lessons(spark, root).where("analysis is not null").select("lesson_id", F.explode("analysis.concepts").alias("subtopic"), F.col("analysis.lesson_type").alias("kind"), F.col("analysis.phase").alias("phase"))
-    pairs = exams.one_question(table(spark, root, "standard_exam_questions")).select("id", "subtopic").join(concepts, "subtopic")
-    linked = linking.narrowed(pairs, "id", "lesson_id", [F.col("kind") == "practice", F.col("phase") == "core"], 5)
-    return linked.select("id", F.array_join(F.transform("nodes", lambda n: n.cast("string")), ",").alias("lessons"))
+    linked = linking.narrowed(concepts, "subtopic", "lesson_id", [F.col("kind") == "practice", F.col("phase") == "core"], 5)
+    lessons = linked.select("subtopic", F.array_join(F.transform("nodes", lambda n: n.cast("string")), ",").alias("lessons"))
+    questions = exams.one_question(table(spark, root, "standard_exam_questions").select("id", "subtopic", "created_at"))
+    return questions.join(lessons, "subtopic").select("id", "lessons")
 
 
 @query(f"""WITH {_LESSONS} SELECT DISTINCT source_name, value FROM (SELECT source_name, unnest(analysis.prerequisites) AS value FROM l)

@@ -1,6 +1,8 @@
+import duckdb
 from pyspark.sql import functions as F
 
 from quernstone.operators import documents, linking, providers, sequences
+from quernstone.plans import catalog
 
 
 def listed(df, *columns):
@@ -12,6 +14,33 @@ def test_narrowing_is_soft(rows):
     assert listed(linking.narrowed(pairs, "q", "n", [F.col("a"), F.col("b")], 5)) == [("q", [1]), ("r", [3])]
 
 
+def most_rows(plan):
+    """The most rows that an operator of a plan that has run gave."""
+    kind = plan.getClass().getSimpleName()
+    inner = [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else []
+    children = plan.children()
+    metric = plan.metrics().get("numOutputRows")
+    return max([metric.get().value() if metric.isDefined() else 0, *map(most_rows, inner), *(most_rows(children.apply(k)) for k in range(children.size()))])
+
+
+def test_lessons_of_one_subtopic_are_not_paired_with_its_questions(spark, rows, tmp_path):
+    root, n = str(tmp_path), 400
+    asked = [(f"q{k}", f"s{k % 2}", 1 + k % 3) for k in range(n)] + [("q0", "s1", 9), ("q1", "s9", 0), ("q2", None, 0), ("q4", "s3", 0)]
+    rows(asked, "id string, subtopic string, t int").withColumn("created_at", F.timestamp_seconds("t")).drop("t").write.parquet(f"{root}/standard_exam_questions.parquet")
+    taught = [(k, (["s0", "s0"] if k % 2 else ["s1", "s0", None], "practice" if k % 7 == 6 else None, "core" if k % 5 == 0 else "exam"), k) for k in range(n)]
+    taught += [(0, (["s3"], "practice", "core"), n), (n, None, 1), (n + 1, (["s3"], "theory", "core"), 1), (n + 2, (["s3"], "theory", None), 1)]
+    schema = "lesson_id bigint, analysis struct<concepts: array<string>, lesson_type: string, phase: string>, t int"
+    rows(taught, schema).withColumn("scanned_at", F.timestamp_seconds("t")).drop("t").write.parquet(f"{root}/curriculum_scan.parquet")
+    got = catalog.queries()["exam_lesson_links"](spark, root)
+    answer = listed(got, "id", "lessons")
+    with duckdb.connect() as sql:
+        for name in ("standard_exam_questions", "curriculum_scan"):
+            sql.execute(f"CREATE VIEW {name} AS SELECT * FROM '{root}/{name}.parquet/*.parquet'")
+        assert answer == sorted(sql.sql(catalog.oracle_sql()["exam_lesson_links"]).fetchall())
+    assert len(answer) == n - 2 and dict(answer)["q0"] == "20,55,90,125,160" and dict(answer)["q4"] == str(n + 1)
+    assert most_rows(got._jdf.queryExecution().executedPlan()) <= 3 * len(taught)
+
+
 def test_required_moved_numbered(rows):
     assert listed(linking.required_but_missing(rows([("s", "a"), ("s", "b")], "s string, v string"), rows([("s", "a")], "s string, v string"), "s", "v")) == [("s", "b")]
     assert listed(linking.moved(rows([(1, "x"), (2, "y")], "m int, u string"), rows([(1, "y")], "m int, u string"), "m", "u")) == [(1, "y"), (2, "y")]
